@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import quality, sharding
+from . import bpe, langid, quality, sharding
 
 QUERIES = {
+    "op1_language": langid.op1_language,
     "op2_quality": quality.op2_quality,
+    "op4_bpe": bpe.op4_bpe,
     "op8_sharding": sharding.op8_sharding,
 }
 
