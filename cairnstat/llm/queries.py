@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, quality, sharding
+from . import bpe, langid, packing, quality, sharding, tokenfile
 
 QUERIES = {
     "op1_language": langid.op1_language,
     "op2_quality": quality.op2_quality,
     "op4_bpe": bpe.op4_bpe,
+    "op5_tokens": tokenfile.op5_tokens,
+    "op6_packing": packing.op6_packing,
     "op8_sharding": sharding.op8_sharding,
 }
 
