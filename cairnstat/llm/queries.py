@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, packing, quality, sharding, tokenfile
+from . import bpe, langid, media, packing, quality, sharding, tokenfile
 
 QUERIES = {
     "op1_language": langid.op1_language,
     "op2_quality": quality.op2_quality,
+    "op3_gif": media.op3_gif,
     "op4_bpe": bpe.op4_bpe,
     "op5_tokens": tokenfile.op5_tokens,
     "op6_packing": packing.op6_packing,
