@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, media, packing, quality, sharding, tokenfile
+from . import bpe, langid, linededup, media, packing, quality, sharding, tokenfile
 
 QUERIES = {
     "op1_language": langid.op1_language,
@@ -12,8 +12,10 @@ QUERIES = {
     "op5_tokens": tokenfile.op5_tokens,
     "op6_packing": packing.op6_packing,
     "op8_sharding": sharding.op8_sharding,
+    "op10_lines": linededup.op10_lines,
 }
 
 ORACLE_SQL = {
     "op2_quality": quality.OP2_SQL,
+    "op10_lines": linededup.OP10_SQL,
 }
