@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, linededup, media, packing, quality, sharding, tokenfile
+from . import bpe, langid, linededup, media, neardup, packing, quality, sharding, tokenfile
 
 QUERIES = {
     "op1_language": langid.op1_language,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_tokens": tokenfile.op5_tokens,
     "op6_packing": packing.op6_packing,
     "op8_sharding": sharding.op8_sharding,
+    "op9_neardup": neardup.op9_neardup,
     "op10_lines": linededup.op10_lines,
 }
 
