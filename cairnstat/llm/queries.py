@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, linededup, media, neardup, packing, quality, sharding, tokenfile
+from . import bpe, langid, linededup, media, neardup, packing, passages, quality, sharding, tokenfile
 
 QUERIES = {
     "op1_language": langid.op1_language,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe": bpe.op4_bpe,
     "op5_tokens": tokenfile.op5_tokens,
     "op6_packing": packing.op6_packing,
+    "op7_passages": passages.op7_passages,
     "op8_sharding": sharding.op8_sharding,
     "op9_neardup": neardup.op9_neardup,
     "op10_lines": linededup.op10_lines,
