@@ -137,13 +137,13 @@ def number_rows(df: DataFrame, by: list[str], order_by: list[str], name: str = "
 
 def group_number(df: DataFrame, keys: list[str], name: str = "group") -> DataFrame:
     """Number of each distinct key from 1 in order of the keys, null keys included; made from the distinct keys, not from all rows."""
-    levels = df.select(*keys).distinct()
-    numbered = levels.withColumn(name, F.row_number().over(Window.orderBy(*[F.col(k).asc_nulls_last() for k in keys])))
-    same = None
-    for k in keys:
-        match = df[k].eqNullSafe(numbered[k])
-        same = match if same is None else same & match
-    return df.join(numbered, same, "left").select(*[df[c] for c in df.columns], numbered[name])
+    levels = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+    order = Window.orderBy(*[F.col(f"_k{i}").asc_nulls_last() for i in range(len(keys))])
+    numbered = levels.withColumn(name, F.row_number().over(order))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(numbered, same, "left").select(*df.columns, name)
 
 
 def group_value(df: DataFrame, by: list[str], column: str, how: str, name: str) -> DataFrame:
