@@ -68,7 +68,7 @@ def encode_tree(piece: bytes, encode: Callable[[bytes], list[int]], bytes_of: di
         leaves *= 2
     cuts = [len(piece) * k // leaves for k in range(leaves + 1)]
     run = pool.map if pool else map
-    parts = list(run(encode, [piece[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]))
+    parts = list(run(lambda k: encode(piece[cuts[k] : cuts[k + 1]]) if cuts[k] < cuts[k + 1] else [], range(leaves)))
     while len(parts) > 1:
         parts = list(run(lambda k: concatenate(parts[k], parts[k + 1], encode, bytes_of), range(0, len(parts), 2)))
     return parts[0]

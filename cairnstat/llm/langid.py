@@ -32,6 +32,7 @@ PENALTY = 12.0
 PER_LANG = 1500
 SCRIPT_SHARE = 0.01
 CHARS_AT_ONCE = 1_000_000
+WORDS_AT_ONCE = 200_000
 
 #: First and last code points of scripts, from the Unicode block list.
 SCRIPTS = {
@@ -117,6 +118,10 @@ class Model:
         """Words x languages."""
         if not len(words.first):
             return np.zeros((0, len(self.langs)), np.float32)
+        cuts = range(0, len(words.first), WORDS_AT_ONCE)
+        return np.concatenate([self._score(Words(words.codes, *(x[k : k + WORDS_AT_ONCE] for x in (words.first, words.end, words.doc, words.script)))) for k in cuts])
+
+    def _score(self, words: Words) -> np.ndarray:
         starts, found = ngrams(words)
         each = np.zeros((int(starts[-1]), len(self.langs)), np.float32)
         for buckets, fits in found:
@@ -226,7 +231,7 @@ def label_texts(model: Model, texts: list[str | None], penalty: float, spans: bo
 
 
 def held_out(key: Column) -> Column:
-    return F.crc32(key.cast("string").cast("binary")) % 5 == 0
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", *, per_lang: int = PER_LANG) -> Model:
@@ -267,11 +272,12 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     return Model(langs, (logs - logs.mean(1, keepdims=True)).astype(np.float32), uses)
 
 
-def label(docs: DataFrame, model: Model, text: str = "text", *, penalty: float = PENALTY, spans: bool = False) -> DataFrame:
+def label(docs: DataFrame, model: Model, text: str = "text", *, penalty: float = PENALTY, spans: bool = False, lang_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (share of letters in spans of that language) and, if asked for, ``spans``:
-    first and end offset in the lower-cased text, and language. Null or letterless text: ``und``, 0, no spans."""
+    first and end offset in the lower-cased text, and language. Null or letterless text: ``und``, 0, no spans.
+    Columns of ``docs`` with these names are replaced; ``lang_as`` and ``score_as`` give others. No rows: no rows."""
     kind = "array<struct<first:int,end:int,lang:string>>"
-    names = ["lang_pred", "score", *(["spans"] if spans else [])]
+    names = [lang_as, score_as, *(["spans"] if spans else [])]
     keep = docs.drop(*names)
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.weights, model.uses))  # BUCKETS x languages numbers
 
@@ -287,7 +293,7 @@ def label(docs: DataFrame, model: Model, text: str = "text", *, penalty: float =
                 columns.append(pa.array([[dict(zip(("first", "end", "lang"), s, strict=True)) for s in g[2]] for g in got], span))
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], *names])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema), "lang_pred string", "score double", *([f"spans {kind}"] if spans else [])])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema), f"`{lang_as}` string, `{score_as}` double", *([f"spans {kind}"] if spans else [])])
     return keep.withColumn("_text", F.col(text)).mapInArrow(run, schema)
 
 

@@ -8,6 +8,7 @@ these references in doubling steps.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import struct
 import zlib
@@ -169,7 +170,12 @@ def _palette(data: bytes, at: int, flags: int) -> tuple[np.ndarray | None, int]:
 
 
 def decode_gif(data: bytes) -> Iterator[Frame]:
-    """Frames of a GIF in order, each as it is shown; nothing for other data."""
+    """Frames of a GIF in order, each as it is shown; nothing for other data. Damaged data end at the damage."""
+    with contextlib.suppress(ValueError, IndexError, struct.error):
+        yield from _frames(data)
+
+
+def _frames(data: bytes) -> Iterator[Frame]:
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         return
     width, height, flags = struct.unpack_from("<HHB", data, 6)

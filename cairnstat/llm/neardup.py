@@ -249,10 +249,11 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *, per
     """doc_id, n_shingles, component_id, kept of every row.
 
     Null, empty and wordless texts have no shingle and are linked with nothing. Rows with equal sets are linked, repeated rows
-    too. The key is expected to be unique and not null; rows that repeat a key share its component.
+    too. The key is expected to be unique; rows that repeat a key share its component. A row with a null key is linked with nothing and
+    kept. Extra columns are left out. No rows: no rows.
     """
     sketched = cut(sketch_documents(docs, key, text), "sketches")
-    full = sketched.filter("n_shingles > 0")
+    full = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut(full.groupBy("h1", "h2").agg(F.min(F.struct(F.col("doc_id").alias("rep"), "labels", "bits")).alias("x")).select("h1", "h2", "x.*"), "classes")
     pairs = cut(candidates(classes), "candidates")
     ends = pairs.select(F.col("a").alias("rep"), F.col("b").alias("other"), "score").unionByName(pairs.select(F.col("b").alias("rep"), F.col("a").alias("other"), "score"))
@@ -266,9 +267,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *, per
     rest = of_b.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
     found = components(links.unionByName(confirm(cut(rest, "rest"), bodies, percent)))
     named = cut(classes.select("h1", "h2", "rep").join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", F.coalesce("root", "rep").alias("root")), "named")
-    # rows without words keep their own key; the hash of others is never null
     joined = full.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"]).select("doc_id", "n_shingles", F.col("root").alias("component_id"))
-    lone = sketched.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    lone = sketched.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return joined.unionByName(lone).withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
 
 

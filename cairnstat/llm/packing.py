@@ -27,7 +27,7 @@ from .common import cut, table, tokenizer_path
 
 ROOM = 4096
 SALTS = 128
-SEARCH_STEPS = 20_000
+SEARCH_STEPS = 50_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -104,29 +104,36 @@ def _better(a: tuple[int, ...], b: tuple[int, ...], room: int) -> tuple[tuple[in
 
 
 def local_search(patterns: Counter[tuple[int, ...]], room: int = ROOM, steps: int = SEARCH_STEPS) -> Counter[tuple[int, ...]]:
-    """Exchange between underfull sequences until none empties or ``steps`` exchanges were tried; full ones stay."""
+    """Exchange between underfull sequences until no sequence can empty or ``steps`` exchanges were tried; full ones stay.
+
+    The emptiest one gives to the partner that ends up fullest; its own rest is looked at again. The sum of squared fills
+    grows with each exchange, so it ends.
+    """
     done = Counter({p: n for p, n in patterns.items() if sum(p) == room})
     under = Counter({p: n for p, n in patterns.items() if sum(p) < room})
     least = -(-sum(sum(p) * n for p, n in under.items()) // room)
     while steps > 0 and under.total() > least:
         a = min(under, key=lambda p: (sum(p), p))
-        others = sorted((p for p in under if p != a or under[p] > 1), key=lambda p: (-sum(p), p))
-        for b in others:
+        best = None
+        for b in sorted((p for p in under if p != a or under[p] > 1), key=lambda p: (-sum(p), p)):
             steps -= 1
-            if sum(b) >= sum(a) and (got := _better(a, b, room)):
-                n = 1 if a == b else min(under[a], under[b])
-                under[a] -= n
-                under[b] -= n
-                under = +under
-                for p in got:
-                    if p:
-                        (done if sum(p) == room else under)[p] += n
-                break
-            if steps <= 0:
+            got = _better(a, b, room)
+            if got and (best is None or sum(got[1]) > sum(best[1][1])):
+                best = b, got
+            if steps <= 0 or best and sum(best[1][1]) == room:
                 break
-        else:  # the emptiest can't be improved any more
+        if best is None:  # the emptiest can't be improved any more
             done[a] += under.pop(a)
-            least = -(-sum(sum(p) * n for p, n in under.items()) // room)
+        else:
+            b, got = best
+            n = 1 if a == b else min(under[a], under[b])
+            under[a] -= n
+            under[b] -= n
+            under = +under
+            for p in got:
+                if p:
+                    (done if sum(p) == room else under)[p] += n
+        least = -(-sum(sum(p) * n for p, n in under.items()) // room)
     return done + under
 
 

@@ -71,8 +71,9 @@ def shard_rows(df: DataFrame, key: str, shards: int = 16, *, vnodes: int = VNODE
     """``df`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard).
 
     Rows with equal keys share a cell and are ranked by ``tie`` (another column); rows equal in both are
-    interchangeable. A null key has a place like any other. No rows: no rows.
+    interchangeable. A null key has a place like any other. No rows: no rows. Columns of ``df`` named shard and slot are replaced.
     """
+    df = df.drop("shard", "slot")
     if shards < 1 or vnodes < 1 or cells < 1:
         raise ValueError("shards, vnodes and cells are at least 1")
     spark = df.sparkSession

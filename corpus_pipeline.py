@@ -26,8 +26,8 @@ def _recount(docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without letters or without a main language go."""
     model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
-    judged = langid.label(docs, model)
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    judged = langid.label(docs, model, lang_as="_lang_pred", score_as="_score")
+    return judged.filter((F.col("_lang_pred") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
