@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 from ..errors import require
 from ..frames import resolve
 from ..functions.expressions import filter_rows
-from ..functions.labels import stat_label
+from ..functions.labels import clean_label, stat_label
 from .percentiles import percentiles
+from .present import with_formats
 from .select import row_window
 from .weights import Weight, weighted
 
@@ -148,12 +149,12 @@ def total_of(df: DataFrame, name: str) -> Column:
 
 def summarize(
     source: DataFrame | str, variables: str | Sequence[str], *, by: str | Sequence[str] = (), stats: Sequence[str] | None = None, where: str | Column | None = None, window: tuple[int, int] | None = None,
-    order_by: str | None = None, weight: Weight | None = None, nomiss: bool = False, fast: bool = False, subtotals: bool = False, sort: bool = True, save: str | None = None, excel: dict | None = None, replace: bool = False,
+    order_by: str | None = None, weight: Weight | None = None, nomiss: bool = False, fast: bool = False, subtotals: bool = False, sort: bool = True, format: str | None = None, save: str | None = None, excel: dict | None = None, replace: bool = False,
 ) -> DataFrame:
     """by..., varname, varlab and a column for each statistic; with ``by`` the grand total has the code -1 (text groups: Total).
 
     Rows whose group is null count in the total alone. ``fast`` uses approximate percentiles. ``subtotals`` adds the totals
-    of leading groups. ``save`` writes a workbook as well.
+    of leading groups. ``format`` is a display format for numbers, or ``auto``. ``save`` writes a workbook as well.
     """
     df = resolve(source)
     variables = variables.split() if isinstance(variables, str) else list(variables)
@@ -177,13 +178,15 @@ def summarize(
         found = (_fast_ranks if fast else _ranks)(df, rows, variables, by, ps, sets)
         result = result.join(found, [*by, "varname"], "left")
     made = {"median": F.col("p50") if 50 in {p for need in ranks.values() for p in need} else None, "iqr": F.col("p75") - F.col("p25") if "iqr" in ranks else None}
-    labels = {v: (df.schema[v].metadata or {}).get("label", "") for v in variables}
+    labels = {v: clean_label((df.schema[v].metadata or {}).get("label", "")) for v in variables}
     varlab = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])[F.col("varname")]
     out = result.select(
         *[F.col(c).alias(c, metadata=_group_meta(df, c)) for c in by], F.col("varname").alias("varname", metadata={"label": "Variable"}),
         varlab.alias("varlab", metadata={"label": "Variable label"}), *[(made[s] if s in made else F.col(s)).alias(s, metadata={"label": stat_label(s)}) for s in stats])
     if sort:
         out = out.orderBy(*[F.col(c).asc_nulls_last() for c in [*by, "varname", "varlab"]])
+    if format:
+        out = with_formats(out, None if format == "auto" else format)
     if save:
         from ..sources.xlsx import save_tables
 

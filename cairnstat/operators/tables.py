@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..errors import require
 from ..frames import resolve
 from ..functions.labels import number_text, suffix
+from .present import with_formats
 from .summary import _group_meta, check_total_code, numeric, prepare, total_of, value_of
 from .weights import Weight
 
@@ -66,7 +67,7 @@ def check_binary(rows: DataFrame, df: DataFrame, variables: Sequence[str], label
 
 def tabulate(
     source: DataFrame | str, variables: str | Sequence[str], *, by: str | None = None, cross: str | None = None, binary: bool = False, stats: Sequence[str] | None = None, types: Sequence[str] | None = None,
-    where: str | Column | None = None, window: tuple[int, int] | None = None, order_by: str | None = None, weight: Weight | None = None, nomiss: bool = False, include_missing: bool = False, sort: bool = True,
+    where: str | Column | None = None, window: tuple[int, int] | None = None, order_by: str | None = None, weight: Weight | None = None, nomiss: bool = False, include_missing: bool = False, sort: bool = True, format: str | None = None,
     save: str | None = None, excel: dict | None = None, replace: bool = False,
 ) -> DataFrame:
     """[by] varname varlab [vallab] proportions, percentages, frequencies, totals.
@@ -98,12 +99,15 @@ def tabulate(
     table = table.drop("value")
     if pair:
         table = _side_by_side(table, keys, pair)
-    out = _pruned(table, by, cross is not None, binary, stats, types)
+    named = (df.schema[cross].metadata or {}).get("value_labels", {}) if cross else {}
+    out = _pruned(table, by, cross is not None, binary, stats, types, {suffix(v): named.get(str(int(v)), "") for v in levels if v.is_integer()})
     if by:
         out = out.withColumn(by, F.col(by).alias(by, metadata=_group_meta(df, by)))
     if sort:
         freqs = [c for c in out.columns if c.startswith("freq")]
         out = out.orderBy(*[F.col(c).asc_nulls_last() for c in [*keys, *freqs, *(["vallab"] if not binary else [])]])
+    if format:
+        out = with_formats(out, None if format == "auto" else format)
     if save:
         from ..sources.xlsx import save_tables
 
@@ -182,21 +186,22 @@ def _side_by_side(table: DataFrame, keys: list[str], pair: list[tuple[float, str
     return table.groupBy(*keys, "varlab").agg(*aggs)
 
 
-def _pruned(table: DataFrame, by: str | None, cross: bool, binary: bool, stats: tuple, types: tuple) -> DataFrame:
+def _pruned(table: DataFrame, by: str | None, cross: bool, binary: bool, stats: tuple, types: tuple, named: dict[str, str]) -> DataFrame:
     names = [c for c in table.columns if c not in (by, "varname", "varlab", "vallab")]
     if cross:
         names = [c for c in names if not any(c.startswith(s) for s in ("row", "col", "cell") if s not in stats)]
     names = [c for c in names if not any(t in c for t in ("prop", "pct") if t not in types)]
     groups = [[c for c in names if "prop" in c], [c for c in names if "pct" in c], [c for c in names if c.startswith("freq")], [c for c in names if c.startswith("rowfreq")], [c for c in names if c.startswith("total")]]
     ordered = [c for g in groups for c in g]
-    return table.select(*([by] if by else []), "varname", "varlab", *([] if binary else ["vallab"]), *[F.col(c).alias(c, metadata={"label": column_label(c)}) for c in ordered])
+    return table.select(*([by] if by else []), "varname", "varlab", *([] if binary else ["vallab"]), *[F.col(c).alias(c, metadata={"label": column_label(c, named)}) for c in ordered])
 
 
 #: What the columns of a table are called.
 COLUMN_LABELS = {"freq": "Frequency", "prop": "Proportion", "pct": "Percentage", "colprop": "Column proportion", "rowprop": "Row proportion", "cellprop": "Cell proportion", "colpct": "Column percentage", "rowpct": "Row percentage", "cellpct": "Cell percentage", "rowfreq": "Row total", "total": "Total"}
 
 
-def column_label(name: str) -> str:
+def column_label(name: str, named: dict[str, str]) -> str:
+    """What a column holds, with the label of its cross level if there is one."""
     m = re.match(r"(colprop|rowprop|cellprop|colpct|rowpct|cellpct|rowfreq|freq|prop|pct|total)(.*)", name)
-    end = m[2].strip("_").replace("_", " ")
+    end = named.get(m[2]) or m[2].strip("_").replace("_", " ")
     return f"{COLUMN_LABELS[m[1]]} {end}".strip()

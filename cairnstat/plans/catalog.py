@@ -491,7 +491,7 @@ def codec_roundtrip(spark, sf_dir):
     return out
 
 
-@query("SELECT n_nationkey, (n_nationkey % 3)::VARCHAR AS part FROM nation")
+@query("SELECT n_nationkey, (n_nationkey % 3)::BIGINT AS part FROM nation")
 def glob_filename(spark, sf_dir):
     nations, base = table(spark, sf_dir, "nation"), _folder(spark)
     for k in range(3):

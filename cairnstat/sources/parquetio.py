@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import require
+from ..errors import EngineError, require
 from ..functions.expressions import filter_rows
 from ..functions.labels import default_format, storage_type
 from ..operators.metadata import Metadata, keep_metadata
@@ -38,8 +38,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def with_suffix(path: str) -> str:
-    return path if re.search(r"\.parquet$|[*?\[/]", path, re.I) else f"{path}.parquet"
+def found_path(spark: SparkSession, path: str) -> str:
+    """The path as it is or with ``.parquet`` added, whichever is there."""
+    for p in (path, f"{path}.parquet"):
+        if exists(spark, p):
+            return p
+    raise EngineError(601, f"file {path} not found")
 
 
 def _scan(spark: SparkSession, path: str | Sequence[str], merge: bool, recursive: bool) -> DataFrame:
@@ -65,11 +69,14 @@ def number_rows_by_file(df: DataFrame, name: str = "_row") -> DataFrame:
 
 
 def filename_column(df: DataFrame, pattern: str, name: str) -> DataFrame:
-    """The text that the first ``*`` of the path pattern stands for, as a number where every character is a digit."""
+    """The text that the first ``*`` of the path pattern stands for: whole numbers or numbers if it is one in all files, else texts."""
     head, _, tail = pattern.partition("*")
     tail = tail.split("*")[0]
-    found = F.regexp_extract(F.col("_metadata.file_path"), f"{re.escape(head)}(.*?){re.escape(tail)}(?:$|/)" if tail else f"{re.escape(head)}([^/]*)", 1)
-    return df.withColumn(name, F.when(found == "", "unknown").otherwise(found))
+    cut = f"{re.escape(head)}(.*?){re.escape(tail)}(?:$|/)" if tail else f"{re.escape(head)}([^/]*)"
+    texts = [m[1] if (m := re.search(cut, p)) else "unknown" for p in df.inputFiles()]
+    kind = "long" if all(re.fullmatch(r"[+-]?\d{1,18}", t) for t in texts) else "double" if all(re.fullmatch(r"[+-]?\d*\.?\d+", t) for t in texts) else "string"
+    found = F.regexp_extract(F.col("_metadata.file_path"), cut, 1)
+    return df.withColumn(name, F.when(found == "", "unknown").otherwise(found).cast(kind))
 
 
 def read(
@@ -82,10 +89,7 @@ def read(
     column from the glob. ``chunksize`` is a hint that Spark doesn't need.
     """
     require(catmode in ("encode", "raw", "both"), 198, f"unknown catmode {catmode}")
-    if isinstance(path, str):
-        path = with_suffix(path)
-    for p in [path] if isinstance(path, str) else path:
-        require(exists(spark, p), 601, f"file {p} not found")
+    path = found_path(spark, path) if isinstance(path, str) else [found_path(spark, p) for p in path]
     df = base = _scan(spark, path, merge=not isinstance(path, str) or bool(re.search(r"[*?\[]", path)), recursive=recursive)
     names = match_columns(base.columns, list(columns) if not isinstance(columns, str) and columns else columns) if columns else base.columns
     if filename:
@@ -168,8 +172,7 @@ def load_metadata(spark: SparkSession, path: str) -> Metadata | None:
 
 def describe(spark: SparkSession, path: str, *, detailed: bool = False, short: bool = False) -> tuple[dict, DataFrame | None]:
     """{N, k, varlist} and a row per column: varname, vartype, format, vallab, varlab. ``detailed`` measures texts, in one pass."""
-    path = with_suffix(path)
-    require(exists(spark, path), 601, f"file {path} not found")
+    path = found_path(spark, path)
     df = _scan(spark, path, merge=False, recursive=False)
     stored = load_metadata(spark, path)
     df = stored.apply(df) if stored else df

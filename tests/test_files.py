@@ -96,6 +96,14 @@ def test_wide(spark, tmp_path):
     assert back.columns == [f"var{k}" for k in range(190, 200)] + ["id"] and back.count() == 20
 
 
+def test_filename_column_and_lists(spark, tmp_path):
+    for k in ("2019", "2020x"):
+        spark.range(2).write.parquet(f"{tmp_path}/y-{k}.parquet")
+    assert {r.year for r in read(spark, f"{tmp_path}/y-*.parquet", filename="year").collect()} == {"2019", "2020x"}
+    assert read(spark, [f"{tmp_path}/y-2019", f"{tmp_path}/y-2020x.parquet"]).count() == 4
+    assert read(spark, f"{tmp_path}", recursive=True).count() == 4
+
+
 def test_empty_table(spark, tmp_path):
     assert read(spark, write(spark.createDataFrame([], "x int"), f"{tmp_path}/none")).count() == 0
 

@@ -86,3 +86,13 @@ def test_formats():
     assert auto_format(T.DoubleType(), -5, 12345.5, True) == "%10.1fc"
     assert auto_format(T.LongType(), 0, 999, False) == "%5.0f"
     assert auto_format(T.DateType(), None, None, False) == "%td"
+
+
+def test_result_formats_and_labels(spark):
+    from cairnstat.operators.metadata import annotate
+
+    df = annotate(spark.createDataFrame([(1.5,), (2500.0,)], "x double"), "x", label="A1. Size")
+    out = summarize(df, "x", stats=["count", "mean", "max"], format="auto")
+    assert out.first().varlab == "Size"
+    assert {f.name: f.metadata["format"] for f in out.schema if f.name in ("count", "max")} == {"count": "%3.0f", "max": "%7.0fc"}
+    assert summarize(df, "x", stats=["max"], format="%9.2f").schema["max"].metadata["format"] == "%9.2f"
