@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,21 +100,33 @@ def find_stretches(docs: DataFrame, length: int, span: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, th long, lo int, hi int, anchor int, key long, whole long")
 
 
-def fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Bytes of the wanted stretches (doc_id, th, lo, hi, anchor, key, whole, n, hot): key, whole, n, hot, before (bytes ahead of the anchor), body."""
-    names = ["key", "whole", "n", "hot", "before", "body"]
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, th and the compressed text, as it is shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            bodies = [packer.compress((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in batch[2]]
+            yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(bodies, pa.binary())], ["doc_id", "th", "body"])
+
+    return docs.mapInArrow(run, "doc_id long, th long, body binary")
+
+
+def fetch(bodies: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """Bytes of the wanted stretches (doc_id, th, lo, hi, anchor, key, whole, n): key, whole, n, before (bytes ahead of the anchor), body."""
+    names = ["key", "whole", "n", "before", "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.schema([("key", pa.int64()), ("whole", pa.int64()), ("n", pa.int64()), ("hot", pa.bool_()), ("before", pa.int32()), ("body", pa.binary())])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        reader = zstandard.ZstdDecompressor()
         for batch in batches:
-            for t, list_ in zip(batch[0], batch[1], strict=True):
-                raw = t.as_py().encode("utf-8", "surrogatepass")
-                rows = [(w["key"], w["whole"], w["n"], w["hot"], w["anchor"] - w["lo"], raw[w["lo"] : w["hi"] + length]) for w in list_.as_py()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows, strict=True), kind, strict=True)], names)
+            for body, list_ in zip(batch[0], batch[1], strict=True):
+                raw = reader.decompress(body.as_py())
+                rows = [(w["key"], w["whole"], w["n"], w["anchor"] - w["lo"], raw[w["lo"] : w["hi"] + length]) for w in list_.as_py()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    lists = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "hi", "anchor", "key", "whole", "n", "hot")).alias("list"))
-    return docs.join(lists, ["doc_id", "th"]).select("text", "list").mapInArrow(
-        run, "key long, whole long, n long, hot boolean, before int, body binary")
+    lists = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "hi", "anchor", "key", "whole", "n")).alias("list"))
+    # by sorting at any size, as the lists grow with the documents
+    return bodies.join(lists.hint("merge"), ["doc_id", "th"]).select("body", "list").mapInArrow(run, "key long, whole long, n long, before int, body binary")
 
 
 def runs_of(flags: np.ndarray) -> list[dict]:
@@ -162,9 +175,13 @@ def judge_groups(rows: DataFrame, length: int) -> DataFrame:
 
 
 def judge_hot(rows: DataFrame, length: int) -> DataFrame:
-    """key, whole, runs of stretches whose key has too many for one task: counts of blocks, then of strings."""
+    """key, whole, runs of stretches whose key has too many for one task.
+
+    Blocks of starts that occur twice as a whole repeat. Of the others, those whose common bytes occur twice are opened, and
+    their strings counted one by one.
+    """
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "whole", "n", "common", "first", "strings"]
+        names = ["key", "whole", "n", "same", "common", "first", "strings"]
         for batch in batches:
             for key, whole, n, before, body in zip(*(batch[i].to_pylist() for i in range(5)), strict=True):
                 roll = Rolling(np.frombuffer(body, np.uint8))
@@ -173,25 +190,30 @@ def judge_hot(rows: DataFrame, length: int) -> DataFrame:
                 block = (before - start) // BLOCK
                 first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
                 last = np.r_[first[1:], len(start)] - 1
-                # bytes of all strings that any stretch can have in this block
+                same = roll.of(first, last + length).view(np.int64)
+                # bytes that all strings have which any stretch can have in this block
                 a = before - block[first] * BLOCK
                 b = a - (BLOCK - 1) + length
-                cut_off = (a >= 0) & (b <= len(body))
-                common = np.where(cut_off, roll.of(np.clip(a, 0, len(body)), np.clip(b, 0, len(body))).view(np.int64), 0)
+                inside = (a >= 0) & (b <= len(body))
+                common = np.where(inside, roll.of(np.clip(a, 0, len(body)), np.clip(b, 0, len(body))).view(np.int64), 0)
                 yield pa.RecordBatch.from_arrays([
-                    *(pa.array([v] * len(first), pa.int64()) for v in (key, whole, n)),
-                    pa.array([None if not ok else int(c) ^ int(q) for c, ok, q in zip(common, cut_off, block[first], strict=True)], pa.int64()),
+                    *(pa.array([v] * len(first), pa.int64()) for v in (key, whole, n)), pa.array(same),
+                    pa.array([None if not ok else int(c) ^ int(q) for c, ok, q in zip(common, inside, block[first], strict=True)], pa.int64()),
                     pa.array(first, pa.int32()), pa.array([string[x : y + 1].tolist() for x, y in zip(first, last, strict=True)], pa.list_(pa.int64()))], names)
 
-    found = cut(rows.select("key", "whole", "n", "before", "body").mapInArrow(blocks, "key long, whole long, n long, common long, first int, strings array<long>"), "hot-blocks")
+    found = rows.mapInArrow(blocks, "key long, whole long, n long, same long, common long, first int, strings array<long>")
+    found = cut(found, "hot-blocks")
+    twice = cut(found.groupBy("same").agg(F.sum("n").alias("k")).filter("k > 1").select("same"), "hot-same")
+    full = found.join(twice, "same").select("key", "whole", F.struct(F.col("first").alias("f"), (F.col("first") + F.size("strings") - 1).alias("e")).alias("run"))
+    # the strings of a block that is not repeated as a whole count themselves and as parts of repeated ones
     more = cut(found.filter("common is not null").groupBy("common").agg(F.sum("n").alias("k")).filter("k > 1").select("common"), "hot-common")
     # a block at the rim of its text lacks some of the common bytes, so its strings are counted in any case
-    rim = found.filter("common is null")
-    strings = found.join(more, "common").unionByName(rim, allowMissingColumns=True).select("key", "whole", "n", "first", F.posexplode("strings").alias("k", "string"))
-    strings = cut(strings.select("key", "whole", "n", (F.col("first") + F.col("k")).alias("at"), "string"), "hot-strings")
-    twice = cut(strings.groupBy("string").agg(F.sum("n").alias("k")).filter("k > 1").select("string"), "hot-twice")
-    good = strings.join(twice, "string").groupBy("key", "whole").agg(F.collect_set("at").alias("at"))
-    return good.select("key", "whole", F.transform("at", lambda x: F.struct(x.alias("f"), x.alias("e"))).alias("runs"))
+    distinct = found.groupBy("same").agg(*[F.first(c).alias(c) for c in ("key", "whole", "common", "first", "strings")], F.sum("n").alias("n"))
+    opened = distinct.join(more, "common").unionByName(distinct.filter("common is null"), allowMissingColumns=True)
+    strings = cut(opened.select("key", "whole", "n", "first", F.posexplode("strings").alias("k", "string")).select("key", "whole", "n", (F.col("first") + F.col("k")).alias("at"), "string"), "hot-strings")
+    often = cut(strings.groupBy("string").agg(F.sum("n").alias("k")).filter("k > 1").select("string"), "hot-twice")
+    lone = strings.filter("n = 1").join(often, "string").select("key", "whole", F.struct(F.col("at").alias("f"), F.col("at").alias("e")).alias("run"))
+    return full.unionByName(lone).groupBy("key", "whole").agg(F.collect_set("run").alias("runs"))
 
 
 def with_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *, length: int = LENGTH, span: int = SPAN, most: int = MOST) -> DataFrame:
@@ -200,16 +222,19 @@ def with_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *, le
     if length % STEP or span > length - 32:
         raise ValueError("length must be a multiple of 40, and span at least 32 less")
     thin = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias("text"))
-    found = cut(find_stretches(thin, length, span), "stretches")
-    per = found.groupBy("key", "whole").agg(F.count("*").alias("n"))
-    often = cut(per.groupBy("key").agg(F.sum("n").alias("all"), F.count("*").alias("kinds")).filter("all > 1").drop("all"), "often")
+    found = find_stretches(thin, length, span)
+    often = cut(found.groupBy("key").count().filter("count > 1").select("key"), "often")
     live = cut(found.join(often, "key"), "live")
-    one = live.groupBy("key", "whole").agg(F.min(F.struct("doc_id", "th", "lo", "hi", "anchor")).alias("x"), F.count("*").alias("n"), F.first("kinds").alias("kinds"))
-    one = cut(one.select("key", "whole", "x.*", "n", "kinds"), "one-each")
+    one = live.groupBy("key", "whole").agg(F.min(F.struct("doc_id", "th", "lo", "hi", "anchor")).alias("x"), F.count("*").alias("n"))
+    one = cut(one.select("key", "whole", "x.*", "n"), "one-each")
+    kinds = cut(one.groupBy("key").agg(F.count("*").alias("kinds")), "kinds")
+    one = cut(one.join(kinds, "key"), "one-of-kinds")
     # a stretch alone with its key repeats as a whole
     simple = one.filter("kinds = 1").select("key", "whole", F.array(F.struct(F.lit(0).alias("f"), (F.col("hi") - F.col("lo")).alias("e"))).alias("runs"))
-    bodies = cut(fetch(thin, one.filter("kinds > 1").withColumn("hot", F.col("kinds") > most).drop("kinds"), length).dropDuplicates(["key", "whole"]), "bodies")
-    judged = judge_groups(bodies.filter("not hot"), length).unionByName(judge_hot(bodies.filter("hot"), length)).unionByName(simple)
+    bodies = packed(thin)
+    judged = judge_groups(fetch(bodies, one.filter((F.col("kinds") > 1) & (F.col("kinds") <= most)), length), length).unionByName(simple)
+    if one.filter(F.col("kinds") > most).limit(1).count():
+        judged = judged.unionByName(judge_hot(fetch(bodies, one.filter(F.col("kinds") > most), length), length))
     judged = cut(judged, "judged")
     back = live.join(judged, ["key", "whole"]).groupBy("doc_id", "th").agg(F.collect_set(F.struct("lo", "runs")).alias("_runs"))
     back = back.withColumnsRenamed({"doc_id": "_doc", "th": "_th"})
