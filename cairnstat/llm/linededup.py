@@ -26,6 +26,8 @@ from .quality import has_word, words_of
 WORD_LINE = 16
 LEAST_WORDS = 6
 LEAST_CLAUSES = 4
+#: What stands before and after a line; no unit's hash.
+RIM = 1 << 40
 CLAUSE_BREAK = "(?<=[,;:.!?|])[\\x20\\x09-\\x0D]+"
 NO_ID = -(1 << 63)
 
@@ -69,11 +71,33 @@ def distinct_lines(found: DataFrame) -> DataFrame:
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """key, gap, doc_id, line: gap 0 is the whole line, else the place of the deleted unit."""
-    u, n = F.col("u"), F.size("u")
-    keys = F.transform(F.sequence(F.lit(0), n), lambda i: F.when(i == 0, F.xxhash64("short", n, u)).otherwise(
-        F.xxhash64("short", n - 1, F.concat(F.slice(u, F.lit(1), F.greatest(i - 1, F.lit(0))), F.slice(u, i + 1, n)))))
-    return lines.filter(n > 0).select(F.posexplode(keys).alias("gap", "key"), "doc_id", "line")
+    """key, gap, doc_id, line: gap 0 is the whole line, else the place of the deleted unit.
+
+    A sequence's key is its length and two sums: of the hashes of neighbouring units, and of units with one between them, the rims of
+    the line taking part. Deleting a unit changes three and five terms, so a variant takes a few steps however long its line is.
+    """
+    n = F.size("u")
+
+    def at(i: Column) -> Column:
+        return F.coalesce(F.get("u", i).cast("long"), F.lit(RIM))
+
+    def near(i: Column, j: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(F.lit(1), at(i), at(j)), 24)
+
+    def apart(i: Column, j: Column) -> Column:
+        return F.when((i >= -1) & (j <= n), F.shiftrightunsigned(F.xxhash64(F.lit(2), at(i), at(j)), 24)).otherwise(F.lit(0).cast("long"))
+
+    zero = F.lit(0).cast("long")
+    places = F.sequence(F.lit(0), n)
+    whole = lines.filter(n > 0).select(
+        "doc_id", "line", "short", "u",
+        F.aggregate(places, zero, lambda held, j: held + near(j - 1, j)).alias("g"), F.aggregate(places, zero, lambda held, j: held + apart(j - 2, j)).alias("s"))
+    rows = whole.select("*", F.explode(places).alias("gap"))
+    i = F.col("gap") - 1
+    g = F.col("g") - near(i - 1, i) - near(i, i + 1) + near(i - 1, i + 1)
+    s = F.col("s") - apart(i - 2, i) - apart(i - 1, i + 1) - apart(i, i + 2) + apart(i - 2, i + 1) + apart(i - 1, i + 2)
+    key = F.when(F.col("gap") == 0, F.xxhash64("short", n, "g", "s")).otherwise(F.xxhash64("short", n - 1, g, s))
+    return rows.select("gap", key.alias("key"), "doc_id", "line")
 
 
 def near_lines(lines: DataFrame) -> DataFrame:
@@ -81,7 +105,7 @@ def near_lines(lines: DataFrame) -> DataFrame:
     at = F.struct("doc_id", "line")
     every = variants(lines)
     # written first, so that Spark can split a key with very many lines in the join
-    shared = cut(every.groupBy("key").agg(F.min(at).alias("a"), F.max(at).alias("z")).filter("a != z").select("key"), "shared-keys")
+    shared = cut(every.groupBy("key").count().filter("count > 1").select("key"), "shared-keys")
     rows = cut(every.join(shared, "key"), "line-keys")
     # the same place deleted: each but the earliest, with the earliest
     own = F.struct("doc_id", "line").alias("at")
