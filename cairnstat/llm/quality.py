@@ -36,7 +36,7 @@ def words_of(text: Column) -> Column:
 
 
 def has_word(line: Column) -> Column:
-    return F.length(F.translate(line, SPACES, "")) > 0
+    return F.btrim(line, F.lit(SPACES)) != ""
 
 
 def repeat_words(words: Column, window: int = WINDOW) -> Column:
