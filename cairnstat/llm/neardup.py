@@ -222,7 +222,8 @@ def packed_texts(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> Data
             yield pa.RecordBatch.from_arrays([batch[0], pa.array([packer.compress(t.as_py().encode("utf-8", "surrogatepass")) for t in batch[1]], pa.binary())], ["rep", "body"])
 
     thin = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).filter("text is not null")
-    return thin.join(nodes, "rep", "left_semi").mapInArrow(run, "rep long, body binary")
+    # by sorting at any size: a broadcast of the nodes would grow with the documents
+    return thin.join(nodes.hint("merge"), "rep", "left_semi").mapInArrow(run, "rep long, body binary")
 
 
 def confirm(pairs: DataFrame, bodies: DataFrame, percent: int = PERCENT) -> DataFrame:

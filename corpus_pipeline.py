@@ -38,7 +38,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     kept = cut(neardup.near_groups(docs).filter("kept").select("doc_id").distinct(), "kept")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
