@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 
 STEP = 40
-SHARD_BYTES = 1 << 19
+SHARD_BYTES = 1 << 16
 
 _draw = np.random.default_rng(20240607)
 _BYTE = _draw.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -32,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(base: int, n: int) -> np.ndarray:
     if len(_held.get(base, ())) < n:
-        p = np.full(max(n, 1 << 20), base, np.uint64)
+        p = np.full(max(n, 1 << 18), base, np.uint64)
         p[0] = 1
         _held[base] = np.multiply.accumulate(p)
     return _held[base][:n]
@@ -49,6 +49,24 @@ class Rolling:
         return mix((self.sums[end] - self.sums[first]) * self.back[first] + (end - first).astype(np.uint64))
 
 
+def stable_order(x: np.ndarray) -> np.ndarray:
+    """Places of the numbers (not below 0) in ascending order, equal ones in their order. Number and place are sorted as one integer
+    where both fit, which is several times as fast as a stable sort of places."""
+    bits = max(1, (len(x) - 1).bit_length())
+    if len(x) and int(x.max()).bit_length() + bits <= 63:
+        return np.sort((x << bits) | np.arange(len(x))) & ((1 << bits) - 1)
+    return np.argsort(x, kind="stable")
+
+
+def dense(x: np.ndarray) -> np.ndarray:
+    """Numbers from 0 in the order of the values, equal ones for equal values."""
+    order = stable_order(x)
+    ranked = x[order]
+    out = np.empty(len(x), np.int64)
+    out[order] = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]])
+    return out
+
+
 @dataclass
 class Symbols:
     """Nodes of all strings: one for each byte position of each text, and one after its last byte."""
@@ -71,7 +89,9 @@ def read_symbols(texts: list[bytes]) -> Symbols:
     length = size[text]
     last = place + STEP > length
     at = np.minimum(byte0[text] + place, len(raw) - STEP)
-    _, number = np.unique(Rolling(raw).of(at, at + STEP), return_inverse=True)
+    # as many bits of the hash as sort together with the place, 40 at least
+    bits = max(40, 63 - max(1, (len(at) - 1).bit_length()))
+    number = dense((Rolling(raw).of(at, at + STEP) >> np.uint64(64 - bits)).astype(np.int64))
     ends = int(last.sum())
     rank = number + ends
     rank[last] = np.arange(ends)
@@ -87,13 +107,14 @@ def sort_shard(s: Symbols, first: int, end: int, depth: int) -> np.ndarray:
     rank, after = s.rank[first:end], s.after[first:end] - first
     known = 1
     while True:
-        order = np.argsort(rank, kind="stable")
+        order = stable_order(rank)
         ranked = rank[order]
-        if known >= depth or not (ranked[1:] == ranked[:-1]).any():
+        differ = ranked[1:] != ranked[:-1]
+        if known >= depth or differ.all():
             return order + first
-        dense = np.empty(len(rank), np.int64)
-        dense[order] = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])
-        rank = dense * (len(rank) + 1) + dense[after]
+        number = np.empty(len(rank), np.int64)
+        number[order] = np.cumsum(np.r_[False, differ])
+        rank = number * (int(number[order[-1]]) + 1) + number[after]
         after = after[after]
         known *= 2
 
@@ -116,7 +137,7 @@ def merge_shards(symbols_before: list[np.ndarray], depth: int) -> tuple[np.ndarr
         within = np.empty(len(every), np.int64)
         within[np.argsort(shard, kind="stable")] = np.arange(len(every))
         seen = every[within]
-        order = np.argsort(seen, kind="stable")
+        order = stable_order(seen)
         seen, was, shard = seen[order], interval[order], shard[order]
         new = np.r_[True, (seen[1:] != seen[:-1]) | (was[1:] != was[:-1])]
         lcp[new & (lcp == depth)] = k
