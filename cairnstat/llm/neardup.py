@@ -4,14 +4,20 @@ Sets of word shingles are compared by Jaccard similarity. Documents with equal s
 forest is ``TREES`` orders of the classes, each by a label of ``DEPTH`` min-hashes. A class's candidates are its
 neighbours with the longest common prefix in each order: ``NEIGHBOURS`` on each side, if at least ``LEAST_DEPTH`` min-hashes
 agree; and the lowest class of its stretch of the region. In a sparse region that reaches all who share the least depth; in a dense one the
-neighbours are those that agree deeper, so the depth adapts to the region and the number of candidates stays linear.
+neighbours are those that agree deeper, so the depth adapts to the region, down to ``DEPTH``, and the number of candidates stays linear.
 
 An order is dealt by ranges of the label, so that a region of any size is split; neighbours across the cuts are found from the few
 rows at each partition's ends. Candidates whose one-bit sketches say less than ``LEAST_ESTIMATE`` go (for a pair at 0.75 that is
 over four standard deviations). The rest is confirmed on full sets in two steps: each class with its best and lowest
 candidate; then, after the components of those links, all candidates that still lie in different components.
 
-A pair at similarity 0.75 agrees to the least depth in one tree at least with probability 1 - (1 - 0.75^4)^24 = 0.9999.
+Neighbours don't reach every pair of a region with more than ``NEIGHBOURS`` + 1 classes. Where such a region still holds several components,
+each pair of classes of different components is compared on full sets: classes of the region's largest component with the others, and these
+with each other, in blocks of ``BLOCK`` classes, so that a region of any size is split. What a block gives is only links that join
+components. Regions that are one component already, as groups of copies are, cost nothing more.
+
+So a link at similarity 0.75 is missed only if the pair agrees to the least depth in no tree, which has probability (1 - 0.75^4)^24 =
+1.1e-4, or, in a region within the neighbours' reach, by its sketch.
 """
 
 from __future__ import annotations
@@ -36,6 +42,9 @@ NEIGHBOURS = 3
 SKETCH_BITS = 128
 LEAST_ESTIMATE = 0.5
 SLOT = 2
+BLOCK = 512
+SIDE = 256
+COLUMNS = 4096
 BYTES_AT_ONCE = 1_000_000
 
 _draw = np.random.default_rng(20240601)
@@ -246,6 +255,124 @@ def confirm(pairs: DataFrame, bodies: DataFrame, percent: int = PERCENT) -> Data
     return two.select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long")
 
 
+def crowded(classes: DataFrame) -> DataFrame:
+    """region and rep of the classes of regions that have more of them than neighbours reach."""
+    wide = SLOT * DEPTH
+    rows = classes.select("rep", F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.xxhash64(t, F.substring("labels", t * wide + 1, F.lit(SLOT * LEAST_DEPTH))))).alias("region"))
+    # written first, so that Spark can split a large region in the join
+    large = cut(rows.groupBy("region").count().filter(F.col("count") > NEIGHBOURS + 1).select("region"), "crowded-regions")
+    return cut(rows.join(large, "region"), "crowded")
+
+
+def blocks_of(members: DataFrame, found: DataFrame) -> DataFrame:
+    """region, x, y, block, rep, root: what meets in block pair (x, y) of each region of ``members`` that holds several components.
+
+    The region's largest component is dealt to blocks behind those of the others, and its blocks don't meet each other.
+    """
+    rooted = members.join(found.select(F.col("node").alias("rep"), "root"), "rep", "left").select("region", "rep", F.coalesce("root", "rep").alias("root"))
+    by_root = rooted.groupBy("region", "root").count()
+    each = by_root.groupBy("region").agg(F.max(F.struct("count", "root")).alias("top"), F.sum("count").alias("n")).filter("top.count < n")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    each = cut(each.select("region", F.col("top.root").alias("largest"), blocks(F.col("n") - F.col("top.count")).alias("others"), blocks(F.col("top.count")).alias("own")), "open-regions")
+    inner = F.col("root") == F.col("largest")
+    salt = F.xxhash64("rep", F.lit("block"))
+    held = rooted.join(each, "region").select(
+        "region", "rep", "root", F.when(inner, F.col("others") + F.pmod(salt, F.col("own"))).otherwise(F.pmod(salt, F.col("others"))).cast("int").alias("block"),
+        F.when(inner, F.col("others")).otherwise(F.col("others") + F.col("own")).alias("meets"))
+    met = held.select("region", "rep", "root", "block", F.explode(F.sequence(F.lit(0), F.col("meets") - 1)).alias("other"))
+    return met.select("region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "rep", "root")
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``left`` has in common with each of ``right``."""
+    def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+
+    (a, row_a), (b, row_b) = flat(left), flat(right)
+    both = np.intersect1d(a, b)
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not len(both):
+        return out.astype(np.int64)
+
+    def places(every: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(both, every), len(both) - 1)
+        good = both[at] == every
+        at, row = at[good], row[good]
+        order = np.argsort(at, kind="stable")
+        return at[order], row[order]
+
+    (at_a, row_a), (at_b, row_b) = places(a, row_a), places(b, row_b)
+    for k in range(0, len(both), COLUMNS):
+        parts = []
+        for at, row, n in ((at_a, row_a, len(left)), (at_b, row_b, len(right))):
+            i, j = np.searchsorted(at, [k, k + COLUMNS])
+            part = np.zeros((n, min(COLUMNS, len(both) - k)), np.float32)
+            part[row[i:j], at[i:j] - k] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out.astype(np.int64)
+
+
+def _join_blocks(left: list[tuple], right: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links (rep, rep) that join components among the pairs of rows (rep, root, body) of two blocks; one block with itself if they are the same."""
+    reader = zstandard.ZstdDecompressor()
+    above: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while above.get(x, x) != x:
+            x = above[x]
+        return x
+
+    out = []
+    for k in range(0, len(left), SIDE):
+        own = left[k : k + SIDE]
+        sets = shingle_sets([reader.decompress(r[2]) for r in own])
+        for m in range(k if left is right else 0, len(right), SIDE):
+            others = right[m : m + SIDE]
+            if len({find(r[1]) for r in own} | {find(r[1]) for r in others}) == 1:
+                continue
+            more = sets if left is right and m == k else shingle_sets([reader.decompress(r[2]) for r in others])
+            both = _shared(sets, more)
+            size = np.array([len(s) for s in sets])[:, None] + np.array([len(s) for s in more])[None, :]
+            ra, rb = np.array([r[1] for r in own]), np.array([r[1] for r in others])
+            i, j = np.nonzero((both > 0) & (100 * both >= percent * (size - both)) & (ra[:, None] != rb[None, :]))
+            if len(i):
+                for at in np.unique(np.stack([ra[i], rb[j]], 1), axis=0, return_index=True)[1].tolist():
+                    p, q = own[i[at]], others[j[at]]
+                    x, y = find(p[1]), find(q[1])
+                    if x != y:
+                        above[max(x, y)] = min(x, y)
+                        out.append((p[0], q[0]))
+    return out
+
+
+def join_regions(met: DataFrame, bodies: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) between components that ``blocks_of`` puts together."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        at = None
+
+        def links() -> pa.RecordBatch:
+            left = [r[1:] for r in held if r[0] == at[1]]
+            right = left if at[1] == at[2] else [r[1:] for r in held if r[0] == at[2]]
+            found = _join_blocks(left, right, percent) if left and right else []
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for *group, block, rep, root, body in zip(*(batch[i].to_pylist() for i in range(7)), strict=True):
+                if group != at:
+                    if held:
+                        yield links()
+                    held, at = [], group
+                held.append((block, rep, root, body))
+        if held:
+            yield links()
+
+    parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = met.join(bodies, "rep").select("region", "x", "y", "block", "rep", "root", "body")
+    return rows.repartition(parts, "region", "x", "y").sortWithinPartitions("region", "x", "y").mapInArrow(run, "a long, b long")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
@@ -260,13 +387,18 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *, per
     ends = pairs.select(F.col("a").alias("rep"), F.col("b").alias("other"), "score").unionByName(pairs.select(F.col("b").alias("rep"), F.col("a").alias("other"), "score"))
     best = ends.groupBy("rep").agg(F.max_by("other", "score").alias("x"), F.min("other").alias("y"))
     best = cut(best.select("rep", F.explode(F.array_distinct(F.array("x", "y"))).alias("other")).select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct(), "best")
-    bodies = cut(packed_texts(docs, ends.select("rep").distinct(), key, text).dropDuplicates(["rep"]), "bodies")
+    members = crowded(classes)
+    bodies = cut(packed_texts(docs, ends.select("rep").union(members.select("rep")).distinct(), key, text).dropDuplicates(["rep"]), "bodies")
     links = cut(confirm(best, bodies, percent), "links")
     roots = cut(components(links), "roots")
     of_a = pairs.select("a", "b").join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
     of_b = of_a.join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
     rest = of_b.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
     found = components(links.unionByName(confirm(cut(rest, "rest"), bodies, percent)))
+    met = cut(blocks_of(members, found), "blocks")
+    if met.limit(1).count():
+        joined = join_regions(met, bodies, percent)
+        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(joined))
     named = cut(classes.select("h1", "h2", "rep").join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", F.coalesce("root", "rep").alias("root")), "named")
     joined = full.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"]).select("doc_id", "n_shingles", F.col("root").alias("component_id"))
     lone = sketched.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

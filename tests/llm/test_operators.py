@@ -423,6 +423,32 @@ def test_large_region_is_found_through_neighbours():
     assert len(a) <= (neardup.NEIGHBOURS + 1) * n and set(a) | set(b) == set(range(n))
 
 
+def test_links_in_a_dense_region(spark, monkeypatch):
+    """Texts around one template, all pairs just under the threshold but for a few planted ones, against brute force."""
+    rng = random.Random(5)
+    template = [f"t{i}" for i in range(200)]
+    partners = rng.sample(range(300), 50)
+    rows = []
+    for k in range(400):
+        words = list(template)
+        for place in range(6):
+            words[20 + 30 * place] = f"own{k}x{place}"
+        if k >= 350:  # one word in common with an earlier text
+            words[20] = rows[partners[k - 350]][1].split(" ")[20]
+        rows.append((k, " ".join(words)))
+    sets = [fixtures.shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for j in range(len(rows)):
+        for i in range(j):
+            both = len(sets[i] & sets[j])
+            if 4 * both >= 3 * (len(sets[i]) + len(sets[j]) - both):
+                root = [root[i] if r == root[j] else r for r in root]
+    assert len(set(root)) == 350
+    monkeypatch.setattr(neardup, "BLOCK", 64, raising=False)
+    got = {r.doc_id: r.component_id for r in neardup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(root))
+
+
 # ---- 2 and 10: what SQL does not say ----
 
 
