@@ -29,6 +29,8 @@ REPEAT_PERCENT = 30
 WINDOW = 8
 MAX_LOST = 0.6
 SHORT_LINE_WORDS = 4
+#: A line of more than SHORT_LINE_WORDS words, however long they are.
+MORE_WORDS = f"^[\\x20\\x09-\\x0D]*+(?:[^\\x20\\x09-\\x0D]++[\\x20\\x09-\\x0D]++){{{SHORT_LINE_WORDS}}}[^\\x20\\x09-\\x0D]"
 
 
 def words_of(text: Column) -> Column:
@@ -65,8 +67,7 @@ def line_fails(line: Column) -> Column:
     low = F.lower(line)
     chars = F.length(F.translate(line, SPACES, ""))
     symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
-    n_words = F.size(words_of(F.substring(line, 1, 400)))
-    short = n_words <= SHORT_LINE_WORDS
+    short = ~line.rlike(MORE_WORDS)
     separators = F.length(line) - F.length(F.translate(line, "|›»>•·", ""))
     return (
         (chars == 0)

@@ -466,6 +466,12 @@ def test_quality_rules(spark):
     assert got == ["A full sentence that stays."]
 
 
+def test_words_after_a_long_one_count(spark):
+    lines = ["x" * 500 + " and then some words", " " * 400 + "five words after many blanks", "x" * 500 + " three words left"]
+    got = spark.createDataFrame([("\n".join(lines),)], "text string").select(quality.clean_lines(F.col("text"))).first()[0]
+    assert got == lines[:2]
+
+
 def test_lines_against_brute_force(spark, docs, rows, none, unkeyed):
     want = fixtures.dropped_lines([(r[0], r[1]) for r in rows])
     got = {(r.doc_id, r.line): r.exact for r in linededup.dropped_lines(docs).collect()}
