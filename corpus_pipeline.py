@@ -5,7 +5,7 @@ Stages take (spark, docs, sf_dir); all but the last return the columns of docume
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnstat.llm import langid, linededup, neardup, packing, passages
@@ -36,11 +36,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates. Of rows that repeat a doc_id (null too) and text, one stays; otherwise null doc_ids stay."""
+    """One document of each group of near duplicates. Null doc_ids stay, and so do rows that repeat a kept doc_id."""
     kept = cut(neardup.near_groups(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "kept")
-    found = docs.join(kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
-    one = Window.partitionBy("doc_id", F.xxhash64("text"), F.hash("text")).orderBy("n_chars")
-    return found.withColumn("_row", F.row_number().over(one)).filter("_row = 1").select(*docs.columns)
+    return docs.join(kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
