@@ -1,16 +1,18 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame functions only.
 
-Lines are compared by units: words for lines of up to ``WORD_LINE`` words, clauses (ended by , ; : . ! ? |) for longer
-ones. Two lines with the same kind of units are near if one unit inserted, removed or replaced turns one into the other. A line
-with fewer than ``LEAST_WORDS`` words or ``LEAST_CLAUSES`` clauses is only matched exactly.
+Two lines are near if one word inserted, removed or replaced turns one into the other, whatever their length. A line of fewer than
+``LEAST_WORDS`` words has an edit bound of 0: one word is too large a part of it, so it is only matched exactly.
 
 1. Equal lines meet by their hash; the earliest (by doc_id, then place) stands for them. What moves is hashes, never text.
-2. Each distinct line emits the key of its whole unit sequence and of all variants with one unit deleted. Keys that no two lines
-   share go first (a count with map-side combining), then the rows of the shared keys are joined back.
-3. Lines that share a variant with the deletion at the same place differ in that unit; a line that equals a variant of another one
-   lacks one unit. Each line is paired with the earliest one of its group, never with all of them, so a group of n lines gives
-   n - 1 pairs. The unit-level edit distance of each pair is verified.
-4. A line is dropped if an earlier line is equal or near.
+2. Only lines that can have a near one go on. A near pair agrees in the first or in the last half of the shorter line, so each distinct
+   line gives the hashes of both halves, for its own length and as the longer line of a pair; a line none of whose halves another one
+   has is near nothing. That loses no pair. The words of the others are read from their documents.
+3. Each of them emits the key of its words and of all variants with one word deleted. Keys that no two lines share go first (a
+   count with map-side combining), then the rows of the shared keys are joined back.
+4. Lines that share a variant with the deletion at the same place differ in that word; a line that equals a variant of another one
+   lacks one word. Each row is paired with the earliest of those it meets, never with all of them, so that a group of any size gives at
+   most two pairs a row. The edit distance of each pair is verified on its words.
+5. A line is dropped if an earlier line is equal or near.
 
 A group of any size only meets aggregations with partial results, and joins that Spark can split.
 """
@@ -20,34 +22,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, let, table
+from .common import SPACES, cut, drop, let, row_id, table, text_hash
 from .quality import has_word, words_of
 
-WORD_LINE = 16
 LEAST_WORDS = 6
-LEAST_CLAUSES = 4
-#: What stands before and after a line; no unit's hash.
-RIM = 1 << 40
-CLAUSE_BREAK = "(?<=[,;:.!?|])[\\x20\\x09-\\x0D]+"
-NO_ID = -(1 << 63)
+#: Stands before and after a line's words; no word is empty.
+RIM = ""
+AT = ["doc_id", "th", "line"]
+HALVES = ["p0", "s0", "p1", "s1"]
 
 
-def unit_hashes(line: Column) -> Column:
-    """Struct of the kind of units and the hash of each unit; no units for a line that is only matched exactly."""
-    def units(words: Column) -> Column:
-        clauses = F.filter(F.split(F.trim(line), CLAUSE_BREAK), lambda c: c != "")
-        short = F.size(words) <= WORD_LINE
-        found = F.when(short, F.when(F.size(words) >= LEAST_WORDS, words)).otherwise(
-            let(clauses, lambda c: F.when(F.size(c) >= LEAST_CLAUSES, c)))
-        none = F.array().cast("array<int>")
-        return F.struct(short.alias("short"), F.coalesce(F.transform(found, lambda u: F.hash(u)), none).alias("u"))
+def halves(line: Column) -> Column:
+    """Hashes of the first and last half of a line's words, for pairs whose shorter line has its number of words (p0, s0) and one less
+    (p1, s1). Null where no such pair is near."""
+    def of(words: Column) -> Column:
+        n = F.size(words)
 
-    return let(words_of(line), units)
+        def half(least: int, side: int) -> Column:
+            shorter = n - least
+            front = F.floor(shorter / 2).cast("int")
+            part = F.slice(words, F.lit(1), front) if side == 0 else F.slice(words, n - (shorter - front) + 1, shorter - front)
+            return F.when(shorter >= LEAST_WORDS, F.xxhash64(shorter, F.lit(side), part))
+
+        return F.struct(*[half(least, side).alias(name) for name, (least, side) in zip(HALVES, [(0, 0), (0, 1), (1, 0), (1, 1)], strict=True)])
+
+    return let(words_of(line), of)
 
 
 def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row per line with a word: doc_id, line (from 0), and its two hashes; with the text."""
-    lines = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line", "body"))
+    """A row per line with a word: doc_id, th (hash of the text), line (from 0), its text and its two hashes."""
+    lines = docs.select(row_id(key).alias("doc_id"), text_hash(text).alias("th"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line", "body"))
     return lines.filter(has_word(F.col("body"))).withColumns({"h": F.xxhash64("body"), "h2": F.hash("body")})
 
 
@@ -64,22 +68,32 @@ def _distance_at_most_one(a: Column, b: Column) -> Column:
 
 
 def distinct_lines(found: DataFrame) -> DataFrame:
-    """The first occurrence of each line with the hashes of its units."""
-    hashed = found.withColumn("units", unit_hashes(F.col("body"))).drop("body")
-    first = hashed.groupBy("h", "h2").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.first("units").alias("units"))
-    return first.select("h", "h2", "at.doc_id", "at.line", "units.short", "units.u")
+    """The first occurrence of each line with the hashes of its halves."""
+    hashed = found.withColumn("halves", halves(F.col("body"))).select("h", "h2", *AT, "halves.*")
+    first = hashed.groupBy("h", "h2").agg(F.min(F.struct(*AT)).alias("at"), *[F.first(c).alias(c) for c in HALVES])
+    return first.select("h", "h2", "at.*", *HALVES)
+
+
+def words_of_lines(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, th, line and ``words`` of the wanted lines (doc_id, th, line). Each document's text moves once, however often its row repeats."""
+    lists = wanted.groupBy("doc_id", "th").agg(F.collect_list("line").alias("list"))
+    texts = docs.select(row_id(key).alias("doc_id"), text_hash(text).alias("th"), F.col(text).alias("text")).dropDuplicates(["doc_id", "th"])
+    picked = let(F.split("text", "\n"), lambda ls: F.transform("list", lambda i: F.struct(i.alias("line"), F.get(ls, i).alias("body"))))
+    # by sorting at any size, as the lists grow with the documents
+    each = texts.join(lists.hint("merge"), ["doc_id", "th"]).select("doc_id", "th", F.inline(picked))
+    return each.select(*AT, words_of(F.col("body")).alias("words"))
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """key, gap, doc_id, line: gap 0 is the whole line, else the place of the deleted unit.
+    """key, gap, doc_id, th, line of lines with their words: gap 0 is the whole line, else the place of the deleted word.
 
-    A sequence's key is its length and two sums: of the hashes of neighbouring units, and of units with one between them, the rims of
-    the line taking part. Deleting a unit changes three and five terms, so a variant takes a few steps however long its line is.
+    A sequence's key is its length and two sums: of the hashes of neighbouring words, and of words with one between them, the rims of
+    the line taking part. Deleting a word changes three and five terms, so a variant takes a few steps however long its line is.
     """
-    n = F.size("u")
+    n = F.size("words")
 
     def at(i: Column) -> Column:
-        return F.coalesce(F.get("u", i).cast("long"), F.lit(RIM))
+        return F.coalesce(F.get("words", i), F.lit(RIM))
 
     def near(i: Column, j: Column) -> Column:
         return F.shiftrightunsigned(F.xxhash64(F.lit(1), at(i), at(j)), 24)
@@ -89,62 +103,68 @@ def variants(lines: DataFrame) -> DataFrame:
 
     zero = F.lit(0).cast("long")
     places = F.sequence(F.lit(0), n)
-    whole = lines.filter(n > 0).select(
-        "doc_id", "line", "short", "u",
+    whole = lines.select(
+        *AT, "words",
         F.aggregate(places, zero, lambda held, j: held + near(j - 1, j)).alias("g"), F.aggregate(places, zero, lambda held, j: held + apart(j - 2, j)).alias("s"))
     rows = whole.select("*", F.explode(places).alias("gap"))
     i = F.col("gap") - 1
     g = F.col("g") - near(i - 1, i) - near(i, i + 1) + near(i - 1, i + 1)
     s = F.col("s") - apart(i - 2, i) - apart(i - 1, i + 1) - apart(i, i + 2) + apart(i - 2, i + 1) + apart(i - 1, i + 2)
-    key = F.when(F.col("gap") == 0, F.xxhash64("short", n, "g", "s")).otherwise(F.xxhash64("short", n - 1, g, s))
-    return rows.select("gap", key.alias("key"), "doc_id", "line")
-
-
-def near_lines(lines: DataFrame) -> DataFrame:
-    """doc_id and line of the distinct lines that have an earlier near line. ``lines`` is read several times."""
-    at = F.struct("doc_id", "line")
-    every = variants(lines)
-    # written first, so that Spark can split a key with very many lines in the join
+    key = F.when(F.col("gap") == 0, F.xxhash64(n, "g", "s")).otherwise(F.xxhash64(n - 1, g, s))
+    return rows.select("gap", key.alias("key"), *AT)
+
+
+def near_lines(lines: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, th and line of the distinct lines that have an earlier near line. ``lines`` is read several times."""
+    at = F.struct(*AT)
+    sides = lines.select(*AT, F.explode(F.array_compact(F.array(*HALVES))).alias("half"))
+    # written first here and below, so that Spark can split a key with very many lines in the join
+    twice = cut(sides.groupBy("half").count().filter("count > 1").select("half"), "shared-halves")
+    live = cut(sides.join(twice, "half").select(*AT).distinct(), "live-lines")
+    units = cut(words_of_lines(docs, live, key, text), "line-words")
+    every = variants(units)
     shared = cut(every.groupBy("key").count().filter("count > 1").select("key"), "shared-keys")
-    rows = cut(every.join(shared, "key"), "line-keys")
-    # the same place deleted: each but the earliest, with the earliest
-    own = F.struct("doc_id", "line").alias("at")
-    first = cut(rows.filter("gap > 0").groupBy("key", "gap").agg(F.min(at).alias("first"), F.max(at).alias("z")).filter("first != z").drop("z"), "first-lines")
-    replaced = rows.filter("gap > 0").select("key", "gap", own).join(first, ["key", "gap"]).filter("at != first").select(F.col("at").alias("late"), F.col("first").alias("early"))
-    # one line is the other one without a unit
-    whole = rows.filter("gap = 0").select("key", own)
-    lacking = rows.filter("gap > 0").select("key", F.struct("doc_id", "line").alias("more")).join(whole, "key")
-    lacking = lacking.select(F.greatest("at", "more").alias("late"), F.least("at", "more").alias("early"))
-    pairs = replaced.unionByName(lacking).distinct()
-    units = lines.select(F.struct("doc_id", "line").alias("at"), "u")
-    with_late = pairs.join(units.select(F.col("at").alias("late"), F.col("u").alias("u1")), "late")
-    with_both = with_late.join(units.select(F.col("at").alias("early"), F.col("u").alias("u2")), "early")
-    return with_both.filter(_distance_at_most_one(F.col("u1"), F.col("u2"))).select("late.doc_id", "late.line").distinct()
+    rows = cut(every.join(shared, "key").select("key", "gap", at.alias("at")), "line-keys")
+    drop(twice, live, shared)
+    first = rows.groupBy("key", "gap").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    first = cut(first, "first-lines")
+    # of each key: the earliest line that is the key, and the earliest that is it with one word more
+    tops = first.groupBy("key").agg(F.min(F.when(F.col("gap") == 0, F.col("first"))).alias("whole"), F.min(F.when(F.col("gap") > 0, F.col("first"))).alias("more"))
+    met = first.join(tops, "key").withColumn("other", F.when(F.col("gap") == 0, F.col("more")).otherwise(F.col("whole")))
+    met = cut(met.filter("first != last OR other < last").select("key", "gap", "first", "other"), "met-lines")
+    pairs = rows.join(met, ["key", "gap"]).select(F.col("at").alias("late"), F.explode(F.array_compact(F.array("first", "other"))).alias("early")).filter("early < late").distinct()
+    words = units.select(at.alias("at"), "words")
+    with_late = pairs.join(words.select(F.col("at").alias("late"), F.col("words").alias("w1")), "late")
+    with_both = with_late.join(words.select(F.col("at").alias("early"), F.col("words").alias("w2")), "early")
+    found = cut(with_both.filter(_distance_at_most_one(F.col("w1"), F.col("w2"))).select("late.*").distinct(), "near-lines")
+    drop(rows, first, met, units)
+    return found
 
 
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, line and ``exact`` of every line that has an earlier equal (exact) or near (not exact) line.
+    """doc_id, th (hash of the text), line and ``exact`` of every line that has an earlier equal (exact) or near (not exact) line.
 
-    Lines without a word stay. A null doc_id comes first, as the lowest number. Rows that repeat a doc_id get one verdict
-    for each line that stands at the same place. Null, empty texts and empty tables have no lines to drop.
+    Lines without a word stay. A null doc_id comes first, as the lowest number. Rows with one doc_id and different texts are
+    documents of their own, in the order of the texts' hashes; rows that repeat both are one document with one verdict. Null,
+    empty texts and empty tables have no lines to drop. Further columns are not read.
     """
     found = occurrences(docs, key, text)
     lines = cut(distinct_lines(found), "lines")
-    near = near_lines(lines).withColumn("near", F.lit(True))
-    verdict = lines.select("h", "h2", "doc_id", "line").join(near, ["doc_id", "line"], "left").select(
-        "h", "h2", F.struct("doc_id", "line").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
+    near = near_lines(lines, docs, key, text).withColumn("near", F.lit(True))
+    verdict = lines.select("h", "h2", *AT).join(near, AT, "left").select("h", "h2", F.struct(*AT).alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
     verdict = cut(verdict, "line-verdicts")
     judged = found.drop("body").join(verdict, ["h", "h2"])
-    exact = F.col("first") != F.struct("doc_id", "line")
-    return judged.filter(exact | F.col("near")).select("doc_id", "line", exact.alias("exact"))
+    exact = F.col("first") != F.struct(*AT)
+    return judged.filter(exact | F.col("near")).select(*AT, exact.alias("exact"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without dropped lines. A document that had lines with words and lost all of them goes; others stay as they are."""
-    gone = dropped_lines(docs, key, text).groupBy("doc_id").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc_id", "_doc")
-    joined = docs.withColumn("_id", F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))).join(gone, F.col("_id") == F.col("_doc"), "left")
-    parts = F.split(F.col(text), "\n")
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    """``docs`` without dropped lines. A document that had lines with words and lost all of them goes; others stay as they are,
+    with all their columns. Names beginning with an underscore are reserved. No rows: no rows."""
+    gone = dropped_lines(docs, key, text).groupBy("doc_id", "th").agg(F.collect_set("line").alias("_gone")).withColumnsRenamed({"doc_id": "_doc", "th": "_th"})
+    own = (F.col("_id") == F.col("_doc")) & (F.col("_own") == F.col("_th"))
+    joined = docs.withColumns({"_id": row_id(key), "_own": text_hash(text)}).join(gone, own, "left")
+    kept = let(F.split(F.col(text), "\n"), lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "_gone"), lambda i: F.get(ls, i)), "\n"))
     cleaned = joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept))
     return cleaned.filter(F.col("_gone").isNull() | (F.length(F.translate(F.col(text), SPACES, "")) > 0)).select(*docs.columns)
 
@@ -152,28 +172,30 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def op10_lines(spark, sf_dir: str) -> DataFrame:
     """Per document: lines with a word, dropped ones by reason, and the numbers of the dropped lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = docs.select("doc_id", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), has_word)).cast("long").alias("n_lines"))
-    gone = dropped_lines(docs).groupBy("doc_id").agg(
-        F.count_if("exact").alias("n_exact"), F.count_if(~F.col("exact")).alias("n_near"), F.sort_array(F.collect_list("line")).alias("lines"))
+    counted = docs.select("doc_id", row_id("doc_id").alias("id"), text_hash("text").alias("th"), F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), has_word)).cast("long").alias("n_lines"))
+    gone = dropped_lines(docs).groupBy(F.col("doc_id").alias("id"), "th").agg(
+        F.count_if("exact").alias("n_exact"), F.count_if(~F.col("exact")).alias("n_near"), F.sort_array(F.collect_set("line")).alias("lines"))
     none = F.lit(0).cast("long")
-    return counted.join(gone, "doc_id", "left").select(
+    return counted.join(gone, ["id", "th"], "left").select(
         "doc_id", "n_lines", F.coalesce("n_exact", none).alias("n_exact"), F.coalesce("n_near", none).alias("n_near"),
         F.coalesce(F.array_join(F.transform("lines", lambda x: x.cast("string")), ","), F.lit("")).alias("dropped"))
 
 
 _WORDS = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
-_CLAUSES = "list_filter(string_split(regexp_replace(trim({0}), '([,;:.!?|])[\\x20\\x09-\\x0D]+', '\\1' || chr(30), 'g'), chr(30)), lambda c: c <> '')"
+#: By the rule alone: pairs that agree in half of the shorter line, compared word by word.
 OP10_SQL = f"""
 WITH o AS (SELECT doc_id, i - 1 AS line, ls[i] AS body FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
 w AS (SELECT *, {_WORDS.format('body')} AS ws FROM o),
 l AS (SELECT * FROM w WHERE len(ws) > 0),
 d AS (SELECT body, min((doc_id, line)) AS pos, any_value(ws) AS ws FROM l GROUP BY body),
-k AS (SELECT *, len(ws) <= {WORD_LINE} AS short, {_CLAUSES.format('body')} AS cs FROM d),
-u AS (SELECT pos, short, CASE WHEN short THEN ws ELSE cs END AS u FROM k WHERE CASE WHEN short THEN len(ws) >= {LEAST_WORDS} ELSE len(cs) >= {LEAST_CLAUSES} END),
-v AS (SELECT pos, short, gap, CASE WHEN gap = 0 THEN u ELSE u[1:gap - 1] || u[gap + 1:] END AS key FROM (SELECT *, unnest(range(0, len(u) + 1)) AS gap FROM u)),
-r AS (SELECT DISTINCT pos FROM (SELECT pos, min(pos) OVER (PARTITION BY short, gap, key) AS first FROM v WHERE gap > 0) WHERE pos <> first),
-e AS (SELECT DISTINCT greatest(a.pos, b.pos) AS pos FROM v a JOIN v b ON a.short = b.short AND a.key = b.key AND a.gap = 0 AND b.gap > 0),
-n AS (SELECT pos FROM r UNION SELECT pos FROM e),
+u AS (SELECT pos, ws, len(ws) AS n FROM d WHERE len(ws) >= {LEAST_WORDS}),
+c AS (SELECT pos, ws, n, unnest([n, n - 1]) AS c FROM u),
+k AS (SELECT pos, ws, n, c, 0 AS side, ws[1:c // 2] AS half FROM c WHERE c >= {LEAST_WORDS}
+ UNION ALL SELECT pos, ws, n, c, 1 AS side, ws[n - (c - c // 2) + 1:n] AS half FROM c WHERE c >= {LEAST_WORDS}),
+p AS (SELECT a.pos AS pos, CASE WHEN a.n <= b.n THEN a.ws ELSE b.ws END AS s, CASE WHEN a.n <= b.n THEN b.ws ELSE a.ws END AS t
+ FROM k a JOIN k b ON a.c = b.c AND a.side = b.side AND a.half = b.half AND b.pos < a.pos),
+q AS (SELECT pos, s, t, coalesce(list_position(list_transform(range(1, len(s) + 1), lambda i: s[i] <> t[i]), true), len(s) + 1) AS x FROM p),
+n AS (SELECT DISTINCT pos FROM q WHERE CASE WHEN len(s) = len(t) THEN s[x + 1:] = t[x + 1:] ELSE len(t) = len(s) + 1 AND s[x:] = t[x + 1:] END),
 j AS (SELECT l.doc_id, l.line, d.pos <> (l.doc_id, l.line) AS exact, n.pos IS NOT NULL AS near FROM l JOIN d USING (body) LEFT JOIN n ON n.pos = d.pos),
 g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (exact) AS n_exact, count(*) FILTER (near AND NOT exact) AS n_near,
  coalesce(string_agg(line::VARCHAR, ',' ORDER BY line) FILTER (exact OR near), '') AS dropped FROM j GROUP BY doc_id)

@@ -80,12 +80,8 @@ def without_passages(texts, length=400):
     return out
 
 
-def _units(line):
-    words = [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]
-    if len(words) <= 16:
-        return True, words if len(words) >= 6 else None
-    parts = [c for c in re.split(r"(?<=[,;:.!?|])[\x20\x09-\x0D]+", line.strip(" ")) if c]
-    return False, parts if len(parts) >= 4 else None
+def _words(line):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]
 
 
 def _close(a, b):
@@ -108,10 +104,9 @@ def dropped_lines(docs):
                 continue
             if line not in first:
                 first[line] = (doc, n)
-                short, units = _units(line)
-                near[line] = units is not None and any(s == short and _close(units, e) for s, e in earlier)
-                if units is not None:
-                    earlier.append((short, units))
+                words = _words(line)
+                near[line] = len(words) >= 6 and any(len(e) >= 6 and _close(words, e) for e in earlier)
+                earlier.append(words)
                 if near[line]:
                     out[(doc, n)] = False
             else:

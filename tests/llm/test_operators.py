@@ -485,3 +485,41 @@ def test_line_edits(spark):
     data = [(0, base), (1, base.replace("four", "vier")), (2, base + " eight"), (3, "two three four five six seven eight"), (4, "one two five"), (5, "one two six")]
     got = {r.doc_id for r in linededup.dropped_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     assert got == {1, 2, 3}
+
+
+@pytest.mark.parametrize("n", [5, 6, 7, 15, 16, 17, 18, 33, 60, 400])
+def test_line_edits_at_any_length(spark, n):
+    """One word replaced, inserted or removed anywhere is near from 6 words on; two are not."""
+    data = []
+    for k, place in enumerate((0, 1, n // 2 - 1, n // 2, n // 2 + 1, n - 1)):
+        words = [f"w{k}x{i}" for i in range(n)]
+        data += [(10 * k, words), (10 * k + 1, [*words[:place], "new", *words[place + 1 :]]), (10 * k + 2, [*words[:place], "put", *words[place:]])]
+        data += [(10 * k + 3, [*words[:place], *words[place + 1 :]])]
+    far = [f"far{i}" for i in range(n)]
+    data += [(100, far), (101, ["a", *far[1:-1], "z"]), (102, ["a", *far, "z"])]
+    got = {r.doc_id for r in linededup.dropped_lines(spark.createDataFrame([(d, " ".join(w)) for d, w in data], "doc_id long, text string")).collect()}
+    rows = {d: w for d, w in data}
+    want = {d for d, w in data if len(w) >= 6 and any(e < d and len(rows[e]) >= 6 and fixtures._close(w, rows[e]) for e in rows)}
+    assert got == want and (n < 6 or {1, 2, 11, 12, 51, 52} <= got) and not {100, 101, 102} & got
+
+
+def test_lines_of_rows_that_repeat_a_key(spark):
+    lone = "a wholly unique sentence that stands nowhere else."
+    data = [(5, "one line that stands in two documents here."), (7, "one line that stands in two documents here."), (7, lone), (None, "something else that has no key and no twin."), (None, "another one of the rows without a key here."), (8, lone)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in linededup.dedup_lines(docs).collect()), key=str)
+    assert got == sorted([data[0], data[2], data[3], data[4]], key=str)
+
+
+def test_lines_that_differ_in_blanks(spark):
+    """Many spellings of one line, and lines with one word more: a pair for each row, and all but the earliest go."""
+    words = [f"w{i}" for i in range(12)]
+    data = [(k, (" " * (k + 1)).join(words)) for k in range(30)] + [(100 + k, " ".join([*words, f"more{k}"])) for k in range(30)]
+    got = {r.doc_id for r in linededup.dropped_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == set(range(1, 30)) | set(range(100, 130))
+
+
+def test_boilerplate_in_lines_of_any_length(spark):
+    lines = ["We use cookies here. " + "plain words " * k + "." for k in (1, 20, 30, 4000)] + ["plain words " * k + "." for k in (3, 4000)]
+    got = spark.createDataFrame([("\n".join(lines),)], "text string").select(quality.clean_lines(F.col("text"))).first()[0]
+    assert got == lines[4:]
