@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from .common import SPACES, WORD_BREAK, let, table
 
 SYMBOLS = "#*$%&|<>"
-#: Boilerplate and menu wording (lower case).
+#: Boilerplate wording (lower case); a line with one of these goes, however long it is.
 BOILERPLATE = (
-    "all rights reserved|copyright \\(c\\)|©|cookie(s)? (policy|settings|notice)|we use cookies|accept (all )?cookies"
-    "|privacy policy|terms (of use|of service|and conditions)|enable javascript|javascript is (disabled|required)"
-    "|subscribe to our newsletter|click here|read more|share (this|on)|powered by|lorem ipsum|back to top|skip to (main )?content"
+    "all rights reserved", "copyright (c)", "©", "cookie policy", "cookie settings", "cookie notice", "cookies policy", "cookies settings",
+    "cookies notice", "we use cookies", "accept cookies", "accept all cookies", "privacy policy", "terms of use", "terms of service",
+    "terms and conditions", "enable javascript", "javascript is disabled", "javascript is required", "subscribe to our newsletter",
+    "click here", "read more", "share this", "share on", "powered by", "lorem ipsum", "back to top", "skip to content", "skip to main content",
 )
 MENU = "(?:home|menu|log ?in|sign ?(?:in|up|out)|register|contact(?: us)?|about(?: us)?|faq|sitemap|search|next|previous|help|privacy|terms|blog|news|shop|cart)"
 END_PUNCTUATION = "[.!?…:;\"'”»’)\\]。！？؟।]$"
@@ -62,33 +63,41 @@ def repeat_words(words: Column, window: int = WINDOW) -> Column:
     return let(words, lambda ws: F.when(F.size(ws) <= window, F.lit(0).cast("long")).otherwise(count(ws)))
 
 
-def line_fails(line: Column) -> Column:
-    """True for a line that goes; it must have been bound by a lambda or be a column."""
-    low = F.lower(line)
+def boilerplate(low: Column) -> Column:
+    """Whether a lower-cased text has boilerplate wording."""
+    found = F.lit(False)
+    for words in BOILERPLATE:
+        found = found | F.contains(low, F.lit(words))
+    return found
+
+
+def line_fails(line: Column, suspect: Column) -> Column:
+    """True for a line that goes; it must have been bound by a lambda or be a column. ``suspect``: the text of the line may have
+    boilerplate wording; where the whole text has none, no line of it does."""
     chars = F.length(F.translate(line, SPACES, ""))
     symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
-    short = ~line.rlike(MORE_WORDS)
     separators = F.length(line) - F.length(F.translate(line, "|›»>•·", ""))
     return (
         (chars == 0)
         | (symbols * 5 > chars)
         | ((separators >= 2) & (separators * 12 >= F.length(line)))
-        | (short & low.rlike(f"^\\W*{MENU}(?:\\W+{MENU})*\\W*$"))
-        | ((F.length(line) <= 300) & low.rlike(BOILERPLATE))
-        | (short & ~F.rtrim(line).rlike(END_PUNCTUATION))
+        | (~line.rlike(MORE_WORDS) & (~F.rtrim(line).rlike(END_PUNCTUATION) | F.lower(line).rlike(f"^\\W*{MENU}(?:\\W+{MENU})*\\W*$")))
+        | (suspect & let(F.lower(line), boilerplate))
     )
 
 
 def clean_lines(text: Column) -> Column:
     """Lines of ``text`` that pass all rules, in their order."""
-    return F.filter(F.split(text, "\n"), lambda line: ~line_fails(line))
+    suspect = let(F.lower(text), boilerplate)
+    return let(suspect, lambda s: F.filter(F.split(text, "\n"), lambda line: ~line_fails(line, s)))
 
 
 def quality_columns(df: DataFrame, text: str = "text", *, max_lost: float = MAX_LOST) -> DataFrame:
     """``df`` with the base counts, ``base_failed``, ``lost`` (share of word characters in failing lines), ``kept``.
 
     Null and empty texts have no word: base_failed, not kept, lost 0. Further columns of ``df`` stay; columns of
-    the names added here are replaced.
+    the names added here are replaced; names beginning with an underscore are reserved. A row's verdict depends on its text alone, so
+    repeated rows get equal ones. No rows: no rows.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     bare = F.length(F.translate(t, SPACES, "")).cast("long")
@@ -124,15 +133,16 @@ def op2_quality(spark, sf_dir: str) -> DataFrame:
 
 def _sql_line_fails(line: str) -> str:
     squeeze = f"translate({line}, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13), '')"
-    n_words = f"len(list_filter(regexp_split_to_array(substring({line}, 1, 400), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))"
+    n_words = f"len(list_filter(regexp_split_to_array({line}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))"
     sep = f"(length({line}) - length(translate({line}, '|›»>•·', '')))"
     menu = MENU.replace("'", "''")
-    boiler, end = BOILERPLATE.replace("'", "''"), END_PUNCTUATION.replace("'", "''")
+    boiler = " OR ".join(f"contains(lower({line}), '{w}')" for w in BOILERPLATE)
+    end = END_PUNCTUATION.replace("'", "''")
     return (
         f"(length({squeeze}) = 0 OR (length({line}) - length(translate({line}, '{SYMBOLS}', ''))) * 5 > length({squeeze})"
         f" OR ({sep} >= 2 AND {sep} * 12 >= length({line}))"
         f" OR ({n_words} <= {SHORT_LINE_WORDS} AND regexp_matches(lower({line}), '^\\W*{menu}(?:\\W+{menu})*\\W*$'))"
-        f" OR (length({line}) <= 300 AND regexp_matches(lower({line}), '{boiler}'))"
+        f" OR ({boiler})"
         f" OR ({n_words} <= {SHORT_LINE_WORDS} AND NOT regexp_matches(rtrim({line}), '{end}')))"
     )
 
