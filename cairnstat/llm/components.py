@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop
 
 
 def _lowest(links: DataFrame) -> DataFrame:
@@ -20,12 +20,13 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = _lowest(both)
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        low_all = _lowest(both)
+        large = both.join(low_all, "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
         large = cut(large.filter("u != v").distinct(), "large-star")
         low = _lowest(large)
         small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "small-star")
+        before, edges = edges, cut(small.unionByName(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "small-star")
+        drop(before, low_all, large, low)
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v"))).first())
         if now == mark:
             break

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import arrow_map, cut, drop, table, text_hash
 from .components import components
 
 WORDS = 5
@@ -63,11 +63,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: np.uint64, n: int, held: dict = {}) -> np.ndarray:  # noqa: B006
-    if len(held.get(base, ())) < n:
-        p = np.full(max(n, BYTES_AT_ONCE), base, np.uint64)
-        p[0] = 1
-        held[base] = np.multiply.accumulate(p)
-    return held[base][:n]
+    if len(held.get(base, ())) >= n:
+        return held[base][:n]
+    p = np.full(max(n, BYTES_AT_ONCE), base, np.uint64)
+    p[0] = 1
+    p = np.multiply.accumulate(p)
+    if len(p) == BYTES_AT_ONCE:  # those of a longer text go with it
+        held[base] = p
+    return p[:n]
 
 
 def word_hashes(buffer: bytes) -> np.ndarray:
@@ -93,7 +96,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
         hashes = word_hashes(buffer) if buffer else np.zeros(0, np.uint64)
         shingled = np.zeros(len(hashes), np.uint64)
         for k in range(words):
-            shingled[: len(hashes) - k] += hashes[k:] * _PLACES[k]
+            shingled[: max(0, len(hashes) - k)] += hashes[k:] * _PLACES[k]
         shingled = mix(shingled)
         at = 0
         for p in parts:
@@ -124,24 +127,24 @@ def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def sketch_documents(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, n_shingles, h1, h2, labels, bits of every row; null in the last four where there is no word."""
+    """doc_id, th (hash of the text), n_shingles, h1, h2, labels, bits of every row; null in the last four where there is no word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
-                sets = shingle_sets([(t.as_py() or "").encode("utf-8", "surrogatepass") for t in part[1]])
+                sets = shingle_sets([(t.as_py() or "").encode("utf-8", "surrogatepass") for t in part[2]])
                 full = [s for s in sets if len(s)]
                 at = iter(range(len(full)))
                 labels, bits, whole = sketches(full) if full else (None, None, None)
                 rows = [next(at) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    part[0], pa.array([len(s) for s in sets], pa.int64()),
+                    part[0], part[1], pa.array([len(s) for s in sets], pa.int64()),
                     *(pa.array([None if r is None else int(whole[r, c]) for r in rows], pa.int64()) for c in (0, 1)),
                     *(pa.array([None if r is None else x[r].tobytes() for r in rows], pa.binary()) for x in (labels, bits))],
-                    ["doc_id", "n_shingles", "h1", "h2", "labels", "bits"])
+                    ["doc_id", "th", "n_shingles", "h1", "h2", "labels", "bits"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, h1 long, h2 long, labels binary, bits binary")
+    thin = docs.select(F.col(key).cast("long").alias("doc_id"), text_hash(text).alias("th"), F.col(text).alias("text"))
+    return arrow_map(thin, run, "doc_id long, th long, n_shingles long, h1 long, h2 long, labels binary, bits binary")
 
 
 def _pairs_in_order(tree: np.ndarray, label: np.ndarray, rep: np.ndarray, bits: np.ndarray, fresh: int) -> tuple[np.ndarray, ...]:
@@ -216,23 +219,26 @@ def candidates(classes: DataFrame) -> DataFrame:
     # as many ranges as the session has shuffle partitions
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.select("tree", "label", "rep", "bits").repartitionByRange(parts, "tree", "label", "rep").sortWithinPartitions("tree", "label", "rep")
-    met = cut(ranged.mapInArrow(_walk(True), f"a long, b long, score double, {_ORDER}"), "forest")
+    met = cut(arrow_map(ranged, _walk(True), f"a long, b long, score double, {_ORDER}"), "forest")
     # NEIGHBOURS rows from either end of each partition: their number depends on that of the partitions alone
     seam = met.filter("tree is not null").select("tree", "label", "rep", "bits").distinct().repartition(1).sortWithinPartitions("tree", "label", "rep")
-    across = seam.mapInArrow(_walk(False), f"a long, b long, score double, {_ORDER}")
-    return met.filter("a is not null").select("a", "b", "score").unionByName(across.select("a", "b", "score")).groupBy("a", "b").agg(F.max("score").alias("score"))
+    across = arrow_map(seam, _walk(False), f"a long, b long, score double, {_ORDER}")
+    found = cut(met.filter("a is not null").select("a", "b", "score").unionByName(across.select("a", "b", "score").filter("a is not null")).groupBy("a", "b").agg(F.max("score").alias("score")), "candidates")
+    drop(met)
+    return found
 
 
 def packed_texts(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
-    """rep and compressed text of the nodes."""
+    """rep and compressed text of the nodes (rep, doc_id, th)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch[0], pa.array([packer.compress(t.as_py().encode("utf-8", "surrogatepass")) for t in batch[1]], pa.binary())], ["rep", "body"])
 
-    thin = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).filter("text is not null")
+    thin = docs.select(F.col(key).cast("long").alias("doc_id"), text_hash(text).alias("th"), F.col(text).alias("text")).filter("text is not null")
     # by sorting at any size: a broadcast of the nodes would grow with the documents
-    return thin.join(nodes.hint("merge"), "rep", "left_semi").mapInArrow(run, "rep long, body binary")
+    own = thin.join(nodes.hint("merge"), ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
+    return arrow_map(own.select("rep", "text"), run, "rep long, body binary")
 
 
 def confirm(pairs: DataFrame, bodies: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -252,7 +258,7 @@ def confirm(pairs: DataFrame, bodies: DataFrame, percent: int = PERCENT) -> Data
 
     one = pairs.select("a", "b").join(bodies.select(F.col("rep").alias("a"), F.col("body").alias("body_a")), "a")
     two = one.join(bodies.select(F.col("rep").alias("b"), F.col("body").alias("body_b")), "b")
-    return two.select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long")
+    return arrow_map(two.select("a", "b", "body_a", "body_b"), run, "a long, b long")
 
 
 def crowded(classes: DataFrame) -> DataFrame:
@@ -261,7 +267,9 @@ def crowded(classes: DataFrame) -> DataFrame:
     rows = classes.select("rep", F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.xxhash64(t, F.substring("labels", t * wide + 1, F.lit(SLOT * LEAST_DEPTH))))).alias("region"))
     # written first, so that Spark can split a large region in the join
     large = cut(rows.groupBy("region").count().filter(F.col("count") > NEIGHBOURS + 1).select("region"), "crowded-regions")
-    return cut(rows.join(large, "region"), "crowded")
+    found = cut(rows.join(large, "region"), "crowded")
+    drop(large)
+    return found
 
 
 def blocks_of(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -370,40 +378,57 @@ def join_regions(met: DataFrame, bodies: DataFrame, percent: int = PERCENT) -> D
 
     parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = met.join(bodies, "rep").select("region", "x", "y", "block", "rep", "root", "body")
-    return rows.repartition(parts, "region", "x", "y").sortWithinPartitions("region", "x", "y").mapInArrow(run, "a long, b long")
+    return arrow_map(rows.repartition(parts, "region", "x", "y").sortWithinPartitions("region", "x", "y"), run, "a long, b long")
+
+
+def class_rows(full: DataFrame) -> DataFrame:
+    """h1, h2, doc_id, th, labels, bits and ``rep`` of each class of equal sets: its first document, and the number of its node. That is
+    the doc_id; where a doc_id is first in several classes, as rows of it have different texts, a hash of doc_id and text."""
+    first = full.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "th", "labels", "bits")).alias("x"))
+    classes = cut(first.select("h1", "h2", "x.*"), "classes")
+    again = cut(classes.groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(True).alias("again")), "repeated-keys")
+    return classes.join(again, "doc_id", "left").withColumn("rep", F.when(F.col("again"), F.xxhash64("doc_id", "th")).otherwise(F.col("doc_id"))).drop("again")
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
+    """doc_id, th (hash of the text), n_shingles, component_id, kept and ``first`` of every row.
 
     Null, empty and wordless texts have no shingle and are linked with nothing. Rows with equal sets are linked, repeated rows
-    too. The key is expected to be unique; rows that repeat a key share its component. A row with a null key is linked with nothing and
-    kept. Extra columns are left out. No rows: no rows.
+    too. Rows with one key and different texts are documents of their own; ``first`` is true for the component's lowest (doc_id, th), and for
+    rows that repeat it. ``kept`` goes by the key alone. A row with a null key is linked with nothing, kept and first. Texts of any
+    length are read whole. Extra columns are left out. No rows: no rows.
     """
     sketched = cut(sketch_documents(docs, key, text), "sketches")
     full = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = cut(full.groupBy("h1", "h2").agg(F.min(F.struct(F.col("doc_id").alias("rep"), "labels", "bits")).alias("x")).select("h1", "h2", "x.*"), "classes")
-    pairs = cut(candidates(classes), "candidates")
+    classes = class_rows(full)
+    pairs = candidates(classes)
     ends = pairs.select(F.col("a").alias("rep"), F.col("b").alias("other"), "score").unionByName(pairs.select(F.col("b").alias("rep"), F.col("a").alias("other"), "score"))
     best = ends.groupBy("rep").agg(F.max_by("other", "score").alias("x"), F.min("other").alias("y"))
     best = cut(best.select("rep", F.explode(F.array_distinct(F.array("x", "y"))).alias("other")).select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct(), "best")
     members = crowded(classes)
-    bodies = cut(packed_texts(docs, ends.select("rep").union(members.select("rep")).distinct(), key, text).dropDuplicates(["rep"]), "bodies")
+    wanted = ends.select("rep").union(members.select("rep")).distinct()
+    nodes = classes.select("rep", "doc_id", "th").join(wanted, "rep")
+    bodies = cut(packed_texts(docs, nodes, key, text), "bodies")
     links = cut(confirm(best, bodies, percent), "links")
     roots = cut(components(links), "roots")
     of_a = pairs.select("a", "b").join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
     of_b = of_a.join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-    rest = of_b.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
-    found = components(links.unionByName(confirm(cut(rest, "rest"), bodies, percent)))
+    rest = cut(of_b.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(best, ["a", "b"], "left_anti"), "rest")
+    found = components(links.unionByName(confirm(rest, bodies, percent)))
     met = cut(blocks_of(members, found), "blocks")
     if met.limit(1).count():
         joined = join_regions(met, bodies, percent)
         found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(joined))
-    named = cut(classes.select("h1", "h2", "rep").join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", F.coalesce("root", "rep").alias("root")), "named")
-    joined = full.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"]).select("doc_id", "n_shingles", F.col("root").alias("component_id"))
-    lone = sketched.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    named = classes.select("h1", "h2", "doc_id", "th", "rep").join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", "doc_id", "th", F.coalesce("root", "rep").alias("root"))
+    named = cut(named, "named")
+    tops = cut(named.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("top")), "tops")
+    named = cut(named.join(tops, "root").select("h1", "h2", "top"), "named-tops")
+    drop(pairs, best, members, bodies, links, roots, rest, met, tops)
+    joined = full.join(named, ["h1", "h2"]).select("doc_id", "th", "n_shingles", F.col("top.doc_id").alias("component_id"), (F.col("top") == F.struct("doc_id", "th")).alias("first"))
+    lone = sketched.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "th", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
     return joined.unionByName(lone).withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
 
 
 def op9_neardup(spark, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents"))
+    """Set size, component and verdict of every document."""
+    return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
