@@ -1,7 +1,7 @@
 """Token files: each document's ids compressed by itself with one shared zstandard dictionary.
 
 A token file is a Parquet folder. ``dictionary`` holds one row: id width, dictionary, its SHA-256. ``blocks`` holds runs of
-documents in ascending key order: the dictionary's hash, the keys, an offset index of the frames, the token counts, the
+documents in ascending key order: the dictionary's hash, the least and greatest key, the keys, an offset index of the frames, the token counts, the
 first token's place within the file, and the frames end to end. A short document is read by its offsets alone, without
 inflating its neighbours.
 
@@ -25,15 +25,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import codec
-from .common import shared_dir, table, tokenizer_path
+from .common import arrow_map, shared_dir, table, tokenizer_path
+from .langid import draw_limit
 
+#: The dictionary learns from about so many documents, and from the first bytes of each; the files hold all.
 SAMPLE_DOCS = 2000
+SAMPLE_BYTES = 16 << 10
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
+#: Documents of a file at least; with more than FILES times that, files grow until they hold MOST_DOCS, and then their number does.
 DOCS_PER_FILE = 2500
-MOST_FILES = 4096
-BLOCKS = "file int, block int, dict_sha256 string, doc_ids array<long>, offsets array<long>, n_tokens array<long>, first long, payload binary"
+FILES = 4096
+MOST_DOCS = 250_000
+BLOCKS = "file int, block int, dict_sha256 string, least long, greatest long, doc_ids array<long>, offsets array<long>, n_tokens array<long>, first long, payload binary"
 
 
 def serialize(ids: bytes, width: int, end: int | None) -> bytes:
@@ -80,20 +85,19 @@ def write(docs: DataFrame, tokenizer: str, path: str, *, end: int | None = 2, ke
     spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     n = docs.count()
-    share = min(1.0, SAMPLE_DOCS / max(n, 1))
-    drawn = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("dict")), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    drawn = docs.filter(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")), F.lit("dict")) <= draw_limit(SAMPLE_DOCS, n))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(tokenizer)
         width = 2 if len(own.bytes_of) <= 1 << 16 else 4
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([serialize(own.ids(t.as_py()), width, end) for t in batch[1]], pa.binary()), batch[0]], ["ids", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array([serialize(own.ids(t.as_py()), width, end)[:SAMPLE_BYTES] for t in batch[1]], pa.binary()), batch[0]], ["ids", "doc_id"])
 
-    # about SAMPLE_DOCS documents' ids, in an order of their own
-    samples = [bytes(r[0]) for r in drawn.mapInArrow(sample, "ids binary, doc_id long").orderBy("doc_id", "ids").select("ids").collect()]
+    # SAMPLE_BYTES of about SAMPLE_DOCS documents, in an order of their own
+    samples = [bytes(r[0]) for r in arrow_map(drawn, sample, "ids binary, doc_id long", keeps=tokenizer).orderBy("doc_id", "ids").select("ids").collect()]
     width = 2 if len(codec(tokenizer).bytes_of) <= 1 << 16 else 4
     files = TokenFiles(path, width, train(samples))
-    n_files = max(1, min(MOST_FILES, -(-n // DOCS_PER_FILE)))
+    n_files = max(1, -(-n // min(MOST_DOCS, max(DOCS_PER_FILE, n // FILES))))
     bounds = np.array(docs.approxQuantile("doc_id", [k / n_files for k in range(1, n_files)], 0.1 / n_files) if n_files > 1 else [], np.float64)
     shared, sha = spark.sparkContext.broadcast((files.dictionary, bounds)), files.sha256  # 64 KB, and a number for each file
 
@@ -119,13 +123,13 @@ def write(docs: DataFrame, tokenizer: str, path: str, *, end: int | None = 2, ke
         def flush() -> pa.RecordBatch:
             nonlocal block, first
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in frames])]).tolist()
-            row = {"file": at, "block": block, "dict_sha256": sha, "doc_ids": keys[:], "offsets": offsets, "n_tokens": counts[:], "first": first, "payload": b"".join(frames)}
+            row = {"file": at, "block": block, "dict_sha256": sha, "least": min((k for k in keys if k is not None), default=None), "greatest": max((k for k in keys if k is not None), default=None), "doc_ids": keys[:], "offsets": offsets, "n_tokens": counts[:], "first": first, "payload": b"".join(frames)}
             block, first = block + 1, first + sum(counts)
             for x in (keys, counts, frames):
                 x.clear()
             return pa.RecordBatch.from_pylist([row], kind)
 
-        kind = pa.schema([("file", pa.int32()), ("block", pa.int32()), ("dict_sha256", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("first", pa.int64()), ("payload", pa.binary())])
+        kind = pa.schema([("file", pa.int32()), ("block", pa.int32()), ("dict_sha256", pa.string()), ("least", pa.int64()), ("greatest", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("first", pa.int64()), ("payload", pa.binary())])
         held = 0
         for batch in batches:
             for file, doc, n_, frame in zip(*(batch[i].to_pylist() for i in (0, 1, 2, 4)), strict=True):
@@ -141,8 +145,8 @@ def write(docs: DataFrame, tokenizer: str, path: str, *, end: int | None = 2, ke
         if frames:
             yield flush()
 
-    dealt = docs.mapInArrow(encode, "file int, doc_id long, n long, tie long, frame binary").repartition(n_files, "file")
-    dealt.sortWithinPartitions("file", "doc_id", "tie", "n").mapInArrow(lay, BLOCKS).write.parquet(f"{path}/blocks")
+    dealt = arrow_map(docs, encode, "file int, doc_id long, n long, tie long, frame binary", keeps=tokenizer).repartition(n_files, "file")
+    arrow_map(dealt.sortWithinPartitions("file", "doc_id", "tie", "n"), lay, BLOCKS).write.parquet(f"{path}/blocks")
     spark.createDataFrame([(width, bytearray(files.dictionary), sha)], "width int, dictionary binary, dict_sha256 string").write.parquet(f"{path}/dictionary")
     return files
 
@@ -153,7 +157,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     totals = blocks.groupBy("file").agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
     ahead, starts = 0, []
-    for file, n in sorted(map(tuple, totals.collect())):  # a row per file, MOST_FILES at most
+    for file, n in sorted(map(tuple, totals.collect())):  # a row per file, each of MOST_DOCS documents or more once there are over FILES
         starts.append((file, ahead))
         ahead += n
     width, sha = files.width, files.sha256
@@ -175,14 +179,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 crc = [zlib.crc32(np.frombuffer(x, f"<u{width}").astype("<u4").tobytes()) for x in ids]
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return blocks.mapInArrow(unpack, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return arrow_map(blocks.drop("least", "greatest"), unpack, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def fetch(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
-    """Ids of the documents of one key, inflating nothing else."""
+    """Ids of the documents of one key, inflating nothing else. The filter on a block's least and greatest key reaches the scan."""
     files = TokenFiles.open(spark, path)
     reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(files.dictionary))
-    hits = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").filter(F.array_contains("doc_ids", doc_id))
+    hits = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").filter((F.col("least") <= doc_id) & (F.col("greatest") >= doc_id)).filter(F.array_contains("doc_ids", doc_id))
     frames = hits.select(F.explode(F.arrays_zip("doc_ids", F.slice("offsets", 1, F.size("doc_ids")).alias("a"), F.slice("offsets", 2, F.size("doc_ids")).alias("b"))).alias("x"), "payload").filter(F.col("x.doc_ids") == doc_id)
     cut = frames.select(F.expr("substring(payload, cast(x.a + 1 as int), cast(x.b - x.a as int))").alias("frame"))
     return [np.frombuffer(reader.decompress(bytes(r[0])), f"<u{files.width}").tolist() for r in cut.collect()]
