@@ -84,6 +84,48 @@ def test_language_held_out(spark, sf_dir):
     assert got.score.between(0, 1).all() and (got.held_out == got.doc_id.map(langid.is_held_out)).all()
 
 
+def test_viterbi_with_many_languages():
+    rng = np.random.default_rng(1)
+    scores = rng.normal(size=(300, 140)) * 3
+    path = langid.viterbi(scores, np.zeros(300, int), 1, 4.0)
+    best = scores[0].copy()
+    for t in range(1, 300):
+        best = np.maximum(best, best.max() - 4.0) + scores[t]
+    assert scores[np.arange(300), path].sum() - 4.0 * (np.diff(path) != 0).sum() == pytest.approx(best.max())
+
+
+def test_long_text_is_read_in_slices(spark, sf_dir, monkeypatch):
+    model = langid.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    text = " ".join(r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").filter("text is not null").limit(40).collect())
+    whole = langid.label_texts(model, [text], langid.PENALTY, True)
+    monkeypatch.setattr(langid, "CHARS_AT_ONCE", 500)
+    monkeypatch.setattr(langid, "WORDS_AT_ONCE", 50)
+    assert langid.label_texts(model, [text], langid.PENALTY, True) == whole and len(whole[0][2]) > 3
+
+
+def test_draw_limit():
+    assert langid.draw_limit(5, 5) == langid.draw_limit(5, 1) == (1 << 63) - 1
+    for n in (10**4, 10**10, 10**14):
+        share = (langid.draw_limit(1500, n) + (1 << 63) + 1) / (1 << 64)
+        assert share == pytest.approx(1500 / n, rel=1e-3)
+
+
+def test_word_scores_against_a_plain_loop(spark, sf_dir):
+    """The score of a word is the sum of the weights of its n-grams, marks at both ends included."""
+    model = langid.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    mask = (1 << 64) - 1
+    for word in ["haus", "l", "été", "information"]:
+        marked, want = [1, *map(ord, word), 2], np.zeros(len(model.langs))
+        for a in range(len(marked)):
+            rolled = 0
+            for k, n in enumerate(langid.LENGTHS):
+                if a + n > len(marked):
+                    break
+                rolled = (rolled * 0x9E3779B97F4A7C15 + marked[a + k] + n) & mask
+                want += model.weights[((((rolled ^ (rolled >> 29)) * 0xBF58476D1CE4E5B9) & mask) >> 48) % langid.BUCKETS]
+        assert model.score(langid.split_words([word]))[0] == pytest.approx(want, abs=1e-3)
+
+
 def test_language_spans(spark, sf_dir):
     model = langid.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     both = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("lang in ('en', 'de') and n_chars > 400").groupBy("lang").agg(F.first(F.substring("text", 1, 400)).alias("t"))
@@ -414,6 +456,22 @@ def test_near_groups_of_the_table(spark, sf_dir):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.op9_neardup(spark, sf_dir).collect()} == want
 
 
+@pytest.mark.parametrize("words", range(7))
+def test_near_groups_of_few_words(spark, words):
+    """A partition with 0 to 6 words in all."""
+    text = " ".join("abcdefg"[:words])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_groups(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string").coalesce(1)).collect()}
+    assert got == {d: (max(min(words, 1), words - 4), 1 if words else d) for d in (1, 2)}
+    assert [len(s) for s in neardup.shingle_sets([b"a", b"b c"])] == [1, 1]
+
+
+def test_near_groups_of_repeated_keys(spark):
+    rng = random.Random(2)
+    a, b = fixtures.prose(rng, 80), fixtures.prose(rng, 80)
+    got = {(r.doc_id, r.th): (r.component_id, r.first) for r in neardup.near_groups(spark.createDataFrame([(5, a), (7, a + " x"), (7, b), (9, b + " y")], "doc_id long, text string")).collect()}
+    assert sorted((k[0], *v) for k, v in got.items()) == [(5, 5, True), (7, 5, False), (7, 7, True), (9, 7, False)]
+
+
 def test_large_region_is_found_through_neighbours():
     """A stretch of hundreds of equal prefixes gives a number of pairs that grows with the rows, not their square."""
     n = 300

@@ -42,7 +42,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert of(got[1]) == sorted(cleaned)
 
     groups = fixtures.near_components(cleaned)
-    one = [(d, t) for d, t in cleaned if groups[d][1] == d]
+    one = sorted({(d, t) for d, t in cleaned if groups[d][1] == d})  # of rows that repeat each other one stays
     assert of(got[2]) == sorted(one)
 
     bare = [(d, raw.decode("utf-8", "ignore")) for (d, _), (raw, _) in zip(one, fixtures.without_passages([t for _, t in one]), strict=True)]
@@ -54,6 +54,21 @@ def test_stages_against_brute_force(spark, tmp_path):
     check_packing(got[4].collect(), total, 4096)
 
 
+def test_repeated_and_null_keys(spark, tmp_path):
+    """No text is lost that only shares its key with others; of equal rows one stays, and the passage stage leaves it alone."""
+    rng = random.Random(8)
+    a, b, c, d, e = (fixtures.prose(rng, 200) for _ in range(5))
+    rows = [(5, a), (7, a + " end"), (7, b), (9, c), (9, c), (9, d), (None, e), (None, e)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t), "x", "y", "z", None, "k", "v") for k, t in rows], fixtures.SCHEMA)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[1:4]):
+        docs = stage(spark, docs, str(tmp_path))
+        docs.write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+    of = lambda rows: sorted(((x, y) for x, y in rows), key=str)
+    got = of((r.doc_id, r.text) for r in docs.collect())
+    assert [t for _, t in got if t in (b, c, d, e)].count(c) == 1 and got == of([(5, a), (7, b), (9, c), (9, d), (None, e)])
+
+
 def test_null_doc_ids(spark, tmp_path):
     rng = random.Random(3)
     row = lambda d: (d, fixtures.prose(rng, 200), "en", "s", 1, "x", "y", "z", None, "k", "v")
