@@ -13,10 +13,10 @@ the text, so the result is exact, whatever the place of the cuts.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -27,12 +27,13 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
-from .common import table, tokenizer_path
+from .common import arrow_map, kept, table, tokenizer_path
 
 LEAF_BYTES = 512
 WINDOW_TOKENS = 4
-REMEMBER = 400_000
-REMEMBER_BYTES = 64
+#: Bytes that the remembered cuts of a worker take, and the longest of them in characters.
+REMEMBER_BYTES = 64 << 20
+REMEMBER_CHARS = 64
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -109,6 +110,7 @@ class Codec:
         self.piece_bytes = {i: raw for raw, i in ranks.items()}
         self.core = tiktoken.Encoding("file", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.memory: dict[str, bytes] = {}
+        self.remembered = 0
         self.pool: ThreadPoolExecutor | None = None
 
     def piece(self, raw: bytes) -> list[int]:
@@ -129,10 +131,12 @@ class Codec:
         for piece in self.pattern.findall(text):
             got += self.piece(piece.encode())
         ids = np.array(got, "<u4").tobytes()
-        if len(cut) <= REMEMBER_BYTES:
-            if len(self.memory) >= REMEMBER:
+        if len(cut) <= REMEMBER_CHARS:
+            if self.remembered >= REMEMBER_BYTES:
                 self.memory.clear()
+                self.remembered = 0
             self.memory[cut] = ids
+            self.remembered += 100 + sys.getsizeof(cut) + sys.getsizeof(ids)
         return ids
 
     #: A blank with other white space beside it.
@@ -165,16 +169,16 @@ class Codec:
         return b"".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-@functools.lru_cache(4)
 def codec(path: str) -> Codec:
-    """One for each file and Python worker."""
-    return Codec(path)
+    """One for each Python worker, kept between tasks."""
+    return kept(path, lambda: Codec(path))
 
 
 def encode_decode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``df``: key, n_tokens, ids_sha256, decoded_sha256. Null and empty texts have no tokens.
 
-    Tokens stay in the worker: the digest is made where the text is, so only a few bytes of each row go on.
+    Tokens stay in the worker: the digest is made where the text is, so only a few bytes of each row go on. Texts of any length are
+    encoded whole. Repeated rows and null keys are rows like any other; further columns are left out. No rows: no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
@@ -188,8 +192,9 @@ def encode_decode(df: DataFrame, path: str, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([batch[0], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     thin = df.select(key, text)
-    return thin.mapInArrow(run, f"`{key}` {thin.schema[0].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return arrow_map(thin, run, f"`{key}` {thin.schema[0].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string", keeps=path)
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's tokens, and digest of what they decode to."""
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))

@@ -17,6 +17,7 @@ import numpy as np
 
 STEP = 40
 SHARD_BYTES = 1 << 16
+HELD_BYTES = 1 << 19
 
 _draw = np.random.default_rng(20240607)
 _BYTE = _draw.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -31,11 +32,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    if len(_held.get(base, ())) < n:
-        p = np.full(max(n, 1 << 18), base, np.uint64)
-        p[0] = 1
-        _held[base] = np.multiply.accumulate(p)
-    return _held[base][:n]
+    if len(_held.get(base, ())) >= n:
+        return _held[base][:n]
+    p = np.full(max(n, HELD_BYTES), base, np.uint64)
+    p[0] = 1
+    p = np.multiply.accumulate(p)
+    if len(p) == HELD_BYTES:  # those of a longer buffer go with it
+        _held[base] = p
+    return p[:n]
 
 
 class Rolling:

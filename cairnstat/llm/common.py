@@ -67,6 +67,19 @@ def kept(name: Any, make: Callable[[], Any]) -> Any:
     return _kept[name]
 
 
+def forget(keeps: Any = None) -> None:
+    """Drop what earlier tasks of this worker kept, but for the object of that name."""
+    if keeps not in _kept:
+        _kept.clear()
+
+
+def give_back() -> None:
+    """Return free memory to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: Any, keeps: Any = None) -> DataFrame:
     """``df.mapInArrow`` for workers with little memory, as executors reuse them for whatever comes next.
 
@@ -79,14 +92,11 @@ def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
         df.sparkSession.conf.set(setting, str(BATCH_BYTES))
 
     def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if keeps not in _kept:
-            _kept.clear()
+        forget(keeps)
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # where the C library has it
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return df.mapInArrow(lean, schema)
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import table
+from .common import arrow_map, table
 
 WIDTH = 64
 FRAME_ROWS = 512
@@ -277,7 +277,7 @@ def media_columns(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     thin = df.select(key, text)
-    return thin.mapInArrow(run, f"`{key}` {thin.schema[0].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return arrow_map(thin, run, f"`{key}` {thin.schema[0].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def frame_rows(df: DataFrame, key: str, media: str) -> DataFrame:
@@ -298,7 +298,7 @@ def frame_rows(df: DataFrame, key: str, media: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_type
 
     keys = to_arrow_type(thin.schema[0].dataType)
-    return thin.mapInArrow(run, f"`{key}` {thin.schema[0].dataType.simpleString()}, frame int, delay_ms int, disposal int, width int, height int, red array<long>, green array<long>, blue array<long>")
+    return arrow_map(thin, run, f"`{key}` {thin.schema[0].dataType.simpleString()}, frame int, delay_ms int, disposal int, width int, height int, red array<long>, green array<long>, blue array<long>")
 
 
 def op3_gif(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import STEP, Rolling, repeated
-from .common import cut, table
+from .common import arrow_map, cut, drop, table, text_hash
 
 LENGTH = 400
 SPAN = 300
@@ -98,7 +98,7 @@ def find_stretches(docs: DataFrame, length: int, span: int) -> DataFrame:
                     at = pa.array(text + a)
                     yield pa.RecordBatch.from_arrays([batch[0].take(at), batch[1].take(at), *(pa.array(x, pa.int32()) for x in (lo, hi, anchor)), pa.array(key), pa.array(whole)], names)
 
-    return docs.mapInArrow(run, "doc_id long, th long, lo int, hi int, anchor int, key long, whole long")
+    return arrow_map(docs, run, "doc_id long, th long, lo int, hi int, anchor int, key long, whole long")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def packed(docs: DataFrame) -> DataFrame:
             bodies = [packer.compress((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in batch[2]]
             yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(bodies, pa.binary())], ["doc_id", "th", "body"])
 
-    return docs.mapInArrow(run, "doc_id long, th long, body binary")
+    return arrow_map(docs, run, "doc_id long, th long, body binary")
 
 
 def fetch(bodies: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -127,7 +127,7 @@ def fetch(bodies: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     lists = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "hi", "anchor", "key", "whole", "n")).alias("list"))
     # by sorting at any size, as the lists grow with the documents
-    return bodies.join(lists.hint("merge"), ["doc_id", "th"]).select("body", "list").mapInArrow(run, "key long, whole long, n long, before int, body binary")
+    return arrow_map(bodies.join(lists.hint("merge"), ["doc_id", "th"]).select("body", "list"), run, "key long, whole long, n long, before int, body binary")
 
 
 def runs_of(flags: np.ndarray) -> list[dict]:
@@ -172,7 +172,7 @@ def judge_groups(rows: DataFrame, length: int) -> DataFrame:
             yield flush()
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.select("key", "whole", "n", "body").repartition(parts, "key").sortWithinPartitions("key", "whole").mapInArrow(run, f"key long, whole long, runs {RUNS}")
+    return arrow_map(rows.select("key", "whole", "n", "body").repartition(parts, "key").sortWithinPartitions("key", "whole"), run, f"key long, whole long, runs {RUNS}")
 
 
 def judge_hot(rows: DataFrame, length: int) -> DataFrame:
@@ -202,7 +202,7 @@ def judge_hot(rows: DataFrame, length: int) -> DataFrame:
                     pa.array([None if not ok else int(c) ^ int(q) for c, ok, q in zip(common, inside, block[first], strict=True)], pa.int64()),
                     pa.array(first, pa.int32()), pa.array([string[x : y + 1].tolist() for x, y in zip(first, last, strict=True)], pa.list_(pa.int64()))], names)
 
-    found = rows.mapInArrow(blocks, "key long, whole long, n long, same long, common long, first int, strings array<long>")
+    found = arrow_map(rows, blocks, "key long, whole long, n long, same long, common long, first int, strings array<long>")
     found = cut(found, "hot-blocks")
     twice = cut(found.groupBy("same").agg(F.sum("n").alias("k")).filter("k > 1").select("same"), "hot-same")
     full = found.join(twice, "same").select("key", "whole", F.struct(F.col("first").alias("f"), (F.col("first") + F.size("strings") - 1).alias("e")).alias("run"))
@@ -219,13 +219,16 @@ def judge_hot(rows: DataFrame, length: int) -> DataFrame:
 
 def with_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *, length: int = LENGTH, span: int = SPAN, most: int = MOST) -> DataFrame:
     """``docs`` with ``_runs``: repeated starts as array of (base, runs), null where there are none. ``length`` is a multiple of 40,
-    ``span`` under it by 32 at least. Rows that repeat each other are other places of the same strings. A null key counts as 0."""
+    ``span`` under it by 32 at least. Rows that repeat each other are other places of the same strings. A null key counts as 0. Null and
+    empty texts have no strings. Texts of any length are read whole. Further columns stay; names beginning with an underscore are
+    reserved. No rows: no rows."""
     if length % STEP or span > length - 32:
         raise ValueError("length must be a multiple of 40, and span at least 32 less")
-    thin = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias("text"))
-    found = find_stretches(thin, length, span)
+    thin = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("doc_id"), text_hash(text).alias("th"), F.col(text).alias("text"))
+    found = cut(find_stretches(thin, length, span), "stretches")
     often = cut(found.groupBy("key").count().filter("count > 1").select("key"), "often")
     live = cut(found.join(often, "key"), "live")
+    drop(found, often)
     one = live.groupBy("key", "whole").agg(F.min(F.struct("doc_id", "th", "lo", "hi", "anchor")).alias("x"), F.count("*").alias("n"))
     one = cut(one.select("key", "whole", "x.*", "n"), "one-each")
     kinds = cut(one.groupBy("key").agg(F.count("*").alias("kinds")), "kinds")
@@ -239,7 +242,7 @@ def with_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *, le
     judged = cut(judged, "judged")
     back = live.join(judged, ["key", "whole"]).groupBy("doc_id", "th").agg(F.collect_set(F.struct("lo", "runs")).alias("_runs"))
     back = back.withColumnsRenamed({"doc_id": "_doc", "th": "_th"})
-    at = (F.coalesce(F.col(key).cast("long"), F.lit(0)) == F.col("_doc")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_th"))
+    at = (F.coalesce(F.col(key).cast("long"), F.lit(0)) == F.col("_doc")) & (text_hash(text) == F.col("_th"))
     return docs.join(back, at, "left").drop("_doc", "_th")
 
 
@@ -272,10 +275,11 @@ def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else batch[k] for k in range(batch.num_columns - 1)], batch.schema.names[:-1])
 
     at = docs.columns.index(text)
-    return with_repeats(docs, key, text, length=length).mapInArrow(run, docs.schema)
+    return arrow_map(with_repeats(docs, key, text, length=length), run, docs.schema)
 
 
 def op7_passages(spark, sf_dir: str) -> DataFrame:
+    """Bytes, removed bytes and runs, and digest of what is left of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -287,4 +291,4 @@ def op7_passages(spark, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch[0], *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_repeats(docs).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return arrow_map(with_repeats(docs), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
