@@ -1,13 +1,14 @@
 """Packing pieces of documents into sequences: best fit, then swap-based local search.
 
 Only lengths matter for packing, and there are at most ``room`` of them. So the plan is made on the driver from the count of
-each length (with its salts: ``room * SALTS`` numbers at most, whatever the input): sequences with the same lengths in
-them are one pattern with a count. Best fit in descending length fills the patterns; then the local search takes the
-emptiest underfull pattern and moves a document, exchanges one for one, or two for one, with fuller underfull
-patterns, each time such that the sum of squared fills grows, until sequences are empty and vanish.
+each length: sequences with the same lengths in them are one pattern with a count. Best fit in descending length fills the
+patterns; then the local search takes the emptiest underfull pattern and moves a document, exchanges one for one, or two for one,
+with fuller underfull patterns, each time such that the sum of squared fills grows, until sequences are empty and vanish or no
+exchange raises it.
 
 The plan goes back as runs: of each length, ranks ``first`` to ``end`` go to consecutive sequences at one offset. Ranks within
-a length are counted within salts, so a length that a third of all documents share is split over many tasks.
+a length are counted within cells. A length has as many cells as its share of the rows asks for, so that one that a third of all
+documents share is split over many tasks: CELLS and one for each length in all, and more once a cell would have over CELL_ROWS rows.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec
-from .common import cut, table, tokenizer_path
+from .common import arrow_map, cut, table, tokenizer_path
 
 ROOM = 4096
-SALTS = 128
-SEARCH_STEPS = 50_000
+CELLS = 4096
+CELL_ROWS = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -103,38 +104,40 @@ def _better(a: tuple[int, ...], b: tuple[int, ...], room: int) -> tuple[tuple[in
     return order(+less), order(+more)
 
 
-def local_search(patterns: Counter[tuple[int, ...]], room: int = ROOM, steps: int = SEARCH_STEPS) -> Counter[tuple[int, ...]]:
-    """Exchange between underfull sequences until no sequence can empty or ``steps`` exchanges were tried; full ones stay.
+def local_search(patterns: Counter[tuple[int, ...]], room: int = ROOM) -> Counter[tuple[int, ...]]:
+    """Exchange between underfull sequences until no sequence can empty or no exchange helps; full ones stay.
 
-    The emptiest one gives to the partner that ends up fullest; its own rest is looked at again. The sum of squared fills
-    grows with each exchange, so it ends.
+    The emptiest one gives to the partner that ends up fullest; its own rest is looked at again. One that can give nothing is set aside,
+    and comes back when another has changed. The sum of squared fills grows with each exchange, so it ends.
     """
     done = Counter({p: n for p, n in patterns.items() if sum(p) == room})
     under = Counter({p: n for p, n in patterns.items() if sum(p) < room})
-    least = -(-sum(sum(p) * n for p, n in under.items()) // room)
-    while steps > 0 and under.total() > least:
+    idle: Counter[tuple[int, ...]] = Counter()
+    while under:
+        every = under + idle
+        if every.total() <= -(-sum(sum(p) * n for p, n in every.items()) // room):
+            break
         a = min(under, key=lambda p: (sum(p), p))
         best = None
-        for b in sorted((p for p in under if p != a or under[p] > 1), key=lambda p: (-sum(p), p)):
-            steps -= 1
+        fuller = (p for p in every if sum(p) >= sum(a) and (p != a or every[p] > 1))
+        for b in sorted(fuller, key=lambda p: (-sum(p), p)):
             got = _better(a, b, room)
             if got and (best is None or sum(got[1]) > sum(best[1][1])):
                 best = b, got
-            if steps <= 0 or best and sum(best[1][1]) == room:
+            if best and sum(best[1][1]) == room:
                 break
-        if best is None:  # the emptiest can't be improved any more
-            done[a] += under.pop(a)
-        else:
-            b, got = best
-            n = 1 if a == b else min(under[a], under[b])
-            under[a] -= n
-            under[b] -= n
-            under = +under
-            for p in got:
-                if p:
-                    (done if sum(p) == room else under)[p] += n
-        least = -(-sum(sum(p) * n for p, n in under.items()) // room)
-    return done + under
+        if best is None:
+            idle[a] += under.pop(a)
+            continue
+        b, got = best
+        n = every[a] // 2 if a == b else min(every[a], every[b])
+        every[a] -= n
+        every[b] -= n
+        for p in got:
+            if p:
+                (done if sum(p) == room else every)[p] += n
+        under, idle = +every, Counter()
+    return done + under + idle
 
 
 def plan(counts: dict[int, int], room: int = ROOM) -> tuple[np.ndarray, int]:
@@ -166,24 +169,29 @@ def pieces_of(docs: DataFrame, tokenizer: str, end: int | None, room: int = ROOM
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)
+    return arrow_map(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), run, PIECES, keeps=tokenizer)
 
 
 def pack(pieces: DataFrame, room: int = ROOM) -> DataFrame:
     """``pieces`` (with doc_id, piece, length; each length from 1 to ``room``) with ``sequence_id`` and ``offset``.
 
-    Its rows are read twice, so cut their lineage first. Rows equal in all columns are packed like any others. No rows: no rows.
+    Its rows are read several times, so cut their lineage first. Rows equal in all columns are packed like any others; further columns stay,
+    and names beginning with an underscore are reserved. No rows: no rows.
     """
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", F.lit("pack")), F.lit(SALTS)).cast("int"))
-    counted = salted.groupBy("length", "_salt").count().toArrow()  # room * SALTS rows at most
+    spark = pieces.sparkSession
+    lengths = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # room rows at most
+    each = min(CELL_ROWS, -(-sum(lengths.values()) // CELLS)) or 1
+    salts = spark.createDataFrame([(int(k), -(-n // each)) for k, n in lengths.items()], "length long, _salts int")
+    salted = pieces.join(F.broadcast(salts), "length").select(*pieces.columns, F.pmod(F.xxhash64("doc_id", "piece", F.lit("pack")), F.col("_salts")).cast("int").alias("_salt"))
+    counted = salted.groupBy("length", "_salt").count().toArrow()  # a row for each cell
     size, salt, n = (counted[i].to_numpy() for i in range(3))
     order = np.lexsort((salt, size))
     size, salt, n = size[order], salt[order], n[order]
     before = np.cumsum(n) - n
     heads = np.flatnonzero(np.r_[True, np.diff(size) != 0]) if len(size) else np.zeros(0, np.int64)
     before -= np.repeat(before[heads], np.diff(np.r_[heads, len(size)]))
-    runs, _ = plan({int(k): int(v) for k, v in zip(size[heads], np.add.reduceat(n, heads) if len(heads) else [], strict=True)}, room)
-    shared = pieces.sparkSession.sparkContext.broadcast((size * SALTS + salt, before, runs))
+    runs, _ = plan({int(k): int(v) for k, v in lengths.items()}, room)
+    shared = spark.sparkContext.broadcast((size << 32 | salt, before, runs))
     ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")) - 1)
     names = [f.name for f in pieces.schema if f.name not in ("sequence_id", "offset")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name in names), "sequence_id long, offset long"])
@@ -194,13 +202,14 @@ def pack(pieces: DataFrame, room: int = ROOM) -> DataFrame:
         for batch in batches:
             columns = [batch[k] for k in range(batch.num_columns - 3)]
             length, salt_, rank = (batch[batch.num_columns - 3 + k].to_numpy() for k in range(3))
-            rank = rank + ahead[np.searchsorted(keys, length * SALTS + salt_)]
+            rank = rank + ahead[np.searchsorted(keys, length << 32 | salt_)]
             run = table_[np.searchsorted(starts, length << 44 | rank, "right") - 1]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(run[:, 3] + rank - run[:, 1]), pa.array(run[:, 4])], [*names, "sequence_id", "offset"])
 
-    return ranked.select(*names, F.col("length").alias("_length"), "_salt", "_rank").mapInArrow(place, schema)
+    return arrow_map(ranked.select(*names, F.col("length").alias("_length"), "_salt", "_rank"), place, schema)
 
 
 def op6_packing(spark, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document."""
     pieces = pieces_of(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 1)
     return pack(cut(pieces, "pieces"))
