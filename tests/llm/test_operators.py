@@ -322,7 +322,31 @@ def test_local_search_keeps_all_and_helps():
         assert all(sum(p) <= 100 for p in after) and after.total() <= first.total()
         fewer += after.total() < first.total()
     bad = Counter({(60, 20): 1, (50, 30): 1, (40,): 1})
-    assert packing.local_search(bad, 100).total() == 2 and fewer >= 0
+    assert packing.local_search(bad, 100).total() == 2 and fewer > 0
+
+
+def test_local_search_empties_sequences():
+    """Threes that fill a sequence exactly: best fit leaves many sequences half empty, and the search empties at least a twentieth."""
+    before = after = 0
+    for seed in range(3):
+        rng, counts = random.Random(seed), Counter()
+        for _ in range(30):
+            a = rng.randint(250, 500)
+            b = rng.randint(250, min(500, 750 - a))
+            counts.update([a, b, 1000 - a - b])
+        first = packing.best_fit(counts, 1000)
+        found = packing.local_search(first, 1000)
+        assert sum((Counter({s: n * c for s, c in Counter(p).items()}) for p, n in found.items()), Counter()) == counts and all(sum(p) <= 1000 for p in found)
+        before, after = before + first.total(), after + found.total()
+    assert 90 <= after <= 0.95 * before
+
+
+def test_packing_of_a_hot_length(spark):
+    """Two thirds of the pieces have one length, among them full ones: ranks come from many cells, offsets are gapless."""
+    rows = [(k, 0, 0, 4096 if k % 3 else 1000 + k % 50, 0) for k in range(9000)]
+    got = packing.pack(spark.createDataFrame(rows, packing.PIECES)).collect()
+    check_packing(got, sum(r[3] for r in rows), 4096)
+    assert len(got) == 9000 and len({(r.sequence_id, r.offset) for r in got}) == 9000
 
 
 def test_packing(spark, docs, rows, none, unkeyed):
