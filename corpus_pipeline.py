@@ -1,6 +1,7 @@
 """A corpus from documents to packed sequences: each stage works on what the one before it kept, written and read again.
 
-Stages take (spark, docs, sf_dir); all but the last return the columns of documents.
+Stages take (spark, docs, sf_dir); all but the last return the columns of documents. Null, empty and wordless texts go with the first
+stage, very long ones are read whole, an empty table gives an empty one. Names beginning with an underscore are reserved.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnstat.llm import langid, linededup, neardup, packing, passages
-from cairnstat.llm.common import SPACES, cut, table, tokenizer_path
+from cairnstat.llm.common import SPACES, cut, row_id, table, text_hash, tokenizer_path
 
 #: A document whose spans agree on one language in less than this share of its letters is rejected.
 LEAST_SCORE = 0.5
@@ -36,9 +37,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates. Null doc_ids stay, and so do rows that repeat a kept doc_id."""
-    kept = cut(neardup.near_groups(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "kept")
-    return docs.join(kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    """One document of each group of near duplicates, and one of rows that repeat doc_id and text. Rows with a null doc_id are near to nothing."""
+    kept = cut(neardup.near_groups(docs).filter("first").select(row_id("doc_id").alias("_id"), F.col("th").alias("_th")).distinct(), "kept")
+    own = docs.withColumns({"_id": row_id("doc_id"), "_th": text_hash("text")}).dropDuplicates(["_id", "_th"])
+    return own.join(kept.hint("merge"), ["_id", "_th"], "left_semi").select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
