@@ -7,8 +7,8 @@ Two lines are near if one word inserted, removed or replaced turns one into the
 2. Only lines that can have a near one go on. A near pair agrees in the first or in the last half of the shorter line, so each distinct
    line gives the hashes of both halves, for its own length and as the longer line of a pair; a line none of whose halves another one
    has is near nothing. That loses no pair. The words of the others are read from their documents.
-3. Each of them emits the key of its words and of all variants with one word deleted. Keys that no two lines share go first (a
-   count with map-side combining), then the rows of the shared keys are joined back.
+3. Each of them emits the key of its words and of all variants with one word deleted. Keys that no two lines share go first (an
+   aggregation with map-side combining), then the rows of the shared keys are joined back.
 4. Lines that share a variant with the deletion at the same place differ in that word; a line that equals a variant of another one
    lacks one word. Each row is paired with the earliest of those it meets, never with all of them, so that a group of any size gives at
    most two pairs a row. The edit distance of each pair is verified on its words.
@@ -26,8 +26,8 @@ from .common import SPACES, cut, drop, let, row_id, table, text_hash
 from .quality import has_word, words_of
 
 LEAST_WORDS = 6
-#: Stands before and after a line's words; no word is empty.
-RIM = ""
+#: Stands for the hash of a word before and after a line's words.
+RIM = 0
 AT = ["doc_id", "th", "line"]
 HALVES = ["p0", "s0", "p1", "s1"]
 
@@ -68,20 +68,21 @@ def _distance_at_most_one(a: Column, b: Column) -> Column:
 
 
 def distinct_lines(found: DataFrame) -> DataFrame:
-    """The first occurrence of each line with the hashes of its halves."""
+    """The first occurrence of each line with the hashes of its halves, and ``n``, how often it stands."""
     hashed = found.withColumn("halves", halves(F.col("body"))).select("h", "h2", *AT, "halves.*")
-    first = hashed.groupBy("h", "h2").agg(F.min(F.struct(*AT)).alias("at"), *[F.first(c).alias(c) for c in HALVES])
-    return first.select("h", "h2", "at.*", *HALVES)
+    first = hashed.groupBy("h", "h2").agg(F.min(F.struct(*AT)).alias("at"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in HALVES])
+    return first.select("h", "h2", "at.*", "n", *HALVES)
 
 
 def words_of_lines(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, th, line and ``words`` of the wanted lines (doc_id, th, line). Each document's text moves once, however often its row repeats."""
-    lists = wanted.groupBy("doc_id", "th").agg(F.collect_list("line").alias("list"))
+    """h, h2, doc_id, th, line and ``words`` of the wanted lines (h, h2, doc_id, th, line). Each document's text moves once, however often
+    its row repeats."""
+    lists = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("line", "h", "h2")).alias("list"))
     texts = docs.select(row_id(key).alias("doc_id"), text_hash(text).alias("th"), F.col(text).alias("text")).dropDuplicates(["doc_id", "th"])
-    picked = let(F.split("text", "\n"), lambda ls: F.transform("list", lambda i: F.struct(i.alias("line"), F.get(ls, i).alias("body"))))
+    picked = let(F.split("text", "\n"), lambda ls: F.transform("list", lambda x: F.struct(x["line"].alias("line"), x["h"].alias("h"), x["h2"].alias("h2"), F.get(ls, x["line"]).alias("body"))))
     # by sorting at any size, as the lists grow with the documents
     each = texts.join(lists.hint("merge"), ["doc_id", "th"]).select("doc_id", "th", F.inline(picked))
-    return each.select(*AT, words_of(F.col("body")).alias("words"))
+    return each.select("h", "h2", *AT, words_of(F.col("body")).alias("words"))
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -90,10 +91,10 @@ def variants(lines: DataFrame) -> DataFrame:
     A sequence's key is its length and two sums: of the hashes of neighbouring words, and of words with one between them, the rims of
     the line taking part. Deleting a word changes three and five terms, so a variant takes a few steps however long its line is.
     """
-    n = F.size("words")
+    n = F.size("u")
 
     def at(i: Column) -> Column:
-        return F.coalesce(F.get("words", i), F.lit(RIM))
+        return F.coalesce(F.get("u", i), F.lit(RIM).cast("long"))
 
     def near(i: Column, j: Column) -> Column:
         return F.shiftrightunsigned(F.xxhash64(F.lit(1), at(i), at(j)), 24)
@@ -103,8 +104,8 @@ def variants(lines: DataFrame) -> DataFrame:
 
     zero = F.lit(0).cast("long")
     places = F.sequence(F.lit(0), n)
-    whole = lines.select(
-        *AT, "words",
+    whole = lines.select(*AT, F.transform("words", lambda w: F.xxhash64(w)).alias("u")).select(
+        *AT, "u",
         F.aggregate(places, zero, lambda held, j: held + near(j - 1, j)).alias("g"), F.aggregate(places, zero, lambda held, j: held + apart(j - 2, j)).alias("s"))
     rows = whole.select("*", F.explode(places).alias("gap"))
     i = F.col("gap") - 1
@@ -115,28 +116,31 @@ def variants(lines: DataFrame) -> DataFrame:
 
 
 def near_lines(lines: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, th and line of the distinct lines that have an earlier near line. ``lines`` is read several times."""
+    """h, h2, doc_id, th and line of the distinct lines that have an earlier near line. ``lines`` is read several times."""
     at = F.struct(*AT)
-    sides = lines.select(*AT, F.explode(F.array_compact(F.array(*HALVES))).alias("half"))
-    # written first here and below, so that Spark can split a key with very many lines in the join
+    sides = lines.select("h", F.explode(F.array_compact(F.array(*HALVES))).alias("half"))
+    # written first here and below, so that Spark can split a key with very many lines in the join; joined by sorting at any size
     twice = cut(sides.groupBy("half").count().filter("count > 1").select("half"), "shared-halves")
-    live = cut(sides.join(twice, "half").select(*AT).distinct(), "live-lines")
+    hashes = cut(sides.join(twice.hint("merge"), "half").select("h").distinct(), "live-hashes")
+    live = lines.select("h", "h2", *AT).join(hashes.hint("merge"), "h", "left_semi")
     units = cut(words_of_lines(docs, live, key, text), "line-words")
     every = variants(units)
-    shared = cut(every.groupBy("key").count().filter("count > 1").select("key"), "shared-keys")
-    rows = cut(every.join(shared, "key").select("key", "gap", at.alias("at")), "line-keys")
-    drop(twice, live, shared)
+    # a line with one word several times in a row meets itself in as many variants
+    two = F.xxhash64(*AT)
+    shared = cut(every.groupBy("key").agg(F.min(two).alias("a"), F.max(two).alias("z")).filter("a != z").select("key"), "shared-keys")
+    rows = cut(every.join(shared.hint("merge"), "key").select("key", "gap", at.alias("at")), "line-keys")
+    drop(twice, hashes, shared)
     first = rows.groupBy("key", "gap").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     first = cut(first, "first-lines")
     # of each key: the earliest line that is the key, and the earliest that is it with one word more
     tops = first.groupBy("key").agg(F.min(F.when(F.col("gap") == 0, F.col("first"))).alias("whole"), F.min(F.when(F.col("gap") > 0, F.col("first"))).alias("more"))
     met = first.join(tops, "key").withColumn("other", F.when(F.col("gap") == 0, F.col("more")).otherwise(F.col("whole")))
     met = cut(met.filter("first != last OR other < last").select("key", "gap", "first", "other"), "met-lines")
-    pairs = rows.join(met, ["key", "gap"]).select(F.col("at").alias("late"), F.explode(F.array_compact(F.array("first", "other"))).alias("early")).filter("early < late").distinct()
-    words = units.select(at.alias("at"), "words")
-    with_late = pairs.join(words.select(F.col("at").alias("late"), F.col("words").alias("w1")), "late")
+    pairs = rows.join(met.hint("merge"), ["key", "gap"]).select(F.col("at").alias("late"), F.explode(F.array_compact(F.array("first", "other"))).alias("early")).filter("early < late").distinct()
+    words = units.select(at.alias("at"), "words", "h", "h2")
+    with_late = pairs.join(words.select(F.col("at").alias("late"), F.col("words").alias("w1"), "h", "h2"), "late")
     with_both = with_late.join(words.select(F.col("at").alias("early"), F.col("words").alias("w2")), "early")
-    found = cut(with_both.filter(_distance_at_most_one(F.col("w1"), F.col("w2"))).select("late.*").distinct(), "near-lines")
+    found = cut(with_both.filter(_distance_at_most_one(F.col("w1"), F.col("w2"))).select("h", "h2", "late.*").distinct(), "near-lines")
     drop(rows, first, met, units)
     return found
 
@@ -150,10 +154,12 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """
     found = occurrences(docs, key, text)
     lines = cut(distinct_lines(found), "lines")
-    near = near_lines(lines, docs, key, text).withColumn("near", F.lit(True))
-    verdict = lines.select("h", "h2", *AT).join(near, AT, "left").select("h", "h2", F.struct(*AT).alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
+    near = near_lines(lines, docs, key, text).select("h", "h2", *AT, F.lit(True).alias("near"))
+    # of lines that stand once and have no near one nothing needs to be known
+    often = lines.filter("n > 1").select("h", "h2", *AT, F.lit(False).alias("near"))
+    verdict = often.unionByName(near).groupBy("h", "h2").agg(F.first(F.struct(*AT)).alias("first"), F.max("near").alias("near"))
     verdict = cut(verdict, "line-verdicts")
-    judged = found.drop("body").join(verdict, ["h", "h2"])
+    judged = found.drop("body").join(verdict.hint("merge"), ["h", "h2"])
     exact = F.col("first") != F.struct(*AT)
     return judged.filter(exact | F.col("near")).select(*AT, exact.alias("exact"))
 

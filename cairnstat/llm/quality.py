@@ -35,7 +35,9 @@ MORE_WORDS = f"^[\\x20\\x09-\\x0D]*+(?:[^\\x20\\x09-\\x0D]++[\\x20\\x09-\\x0D]++
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
+    """Words of a text. Where blanks are the only white space, splitting takes no pattern matching."""
+    parts = F.when(text.rlike("[\\x09-\\x0D]"), F.split(text, WORD_BREAK)).otherwise(F.split(text, " "))
+    return F.array_remove(parts, "")
 
 
 def has_word(line: Column) -> Column:
