@@ -25,6 +25,8 @@ WIDTH = 64
 FRAME_ROWS = 512
 BINS = 16
 MOST_CODES = 4096
+#: Larger pictures count as damaged (this one takes 256 MB).
+MOST_PIXELS = 1 << 26
 
 
 def lzw_codes(data: bytes, bits: int) -> list[int]:
@@ -179,6 +181,8 @@ def _frames(data: bytes) -> Iterator[Frame]:
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         return
     width, height, flags = struct.unpack_from("<HHB", data, 6)
+    if width * height > MOST_PIXELS:  # a header asks for any size without the data for it
+        return
     shared, at = _palette(data, 13, flags)
     canvas = np.zeros((height, width, 4), np.uint8)
     delay = disposal = 0
@@ -194,6 +198,8 @@ def _frames(data: bytes) -> Iterator[Frame]:
         if data[at] != 0x2C:
             return
         x, y, w, h, flags = struct.unpack_from("<HHHHB", data, at + 1)
+        if w * h > MOST_PIXELS:
+            return
         own, at = _palette(data, at + 10, flags)
         bits = data[at]
         stream, at = _blocks(data, at + 1)
@@ -261,7 +267,9 @@ def load_bytes(media: bytes) -> tuple[bytes, np.ndarray, list[int]]:
 def media_columns(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Digest columns of each text stored as a GIF and read back. Null and empty texts: a payload of WIDTH zero bytes.
 
-    The feature is the histogram of grey levels over all frames, with the number of frames and the time they take.
+    The feature is the histogram of grey levels over all frames, with the number of frames and the time they take. Texts of any length are
+    stored whole, in as many frames as they need. Repeated rows get equal values, null keys are rows like any other, further columns are left out,
+    and an empty table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,4 +310,5 @@ def frame_rows(df: DataFrame, key: str, media: str) -> DataFrame:
 
 
 def op3_gif(spark, sf_dir: str) -> DataFrame:
+    """Digests and feature of every document's text, stored as a GIF and read back."""
     return media_columns(table(spark, sf_dir, "documents"))
