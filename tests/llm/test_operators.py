@@ -188,6 +188,19 @@ def test_frames_disposal_and_transparency():
     assert list(media.decode_gif(b"nothing")) == [] and list(media.decode_gif(gif[:13])) == []
 
 
+def test_damaged_gifs():
+    """A header that asks for 16 GB is damage, and so are cut or altered code streams; what stands before is read."""
+    assert list(media.decode_gif(b"GIF89a" + b"\xff\xff\xff\xff\x80\0\0" + bytes(6))) == []
+    gif = media.store_bytes(bytes(range(256)) * 300)
+    rng = random.Random(2)
+    for _ in range(60):
+        cut = bytearray(gif[: rng.randrange(len(gif))])
+        for _ in range(rng.randrange(4)):
+            if len(cut) > 800:
+                cut[rng.randrange(790, len(cut))] = rng.randrange(256)
+        assert len(list(media.decode_gif(bytes(cut)))) <= 3
+
+
 def test_media(spark, docs, texts, none, unkeyed):
     for r in media.media_columns(docs).collect():
         raw = (texts[r.doc_id] or "").encode()
