@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import EngineError, require
+from .ordering import number_in_order
+
+#: Up to here a row window is a limit of the sorted rows; rows further on are numbered first.
+NEAR = 10_000
 
 CASTS = {"boolean": "boolean", "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "uint8": "smallint", "uint16": "int", "uint32": "bigint", "uint64": "decimal(20,0)", "float32": "float", "float64": "double", "string": "string"}
 
@@ -31,8 +35,10 @@ def project(df: DataFrame, patterns: str | list[str] | None) -> DataFrame:
 def row_window(df: DataFrame, first: int, last: int, order_by: str | list[str]) -> DataFrame:
     """Rows ``first`` to ``last`` (from 1, both included) in the given order. A filter on the result comes after the window."""
     require(first >= 1, 198, "the window starts at 1")
-    order = [order_by] if isinstance(order_by, str) else list(order_by)
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).offset(first - 1).limit(max(0, last - first + 1))
+    order = [F.col(c).asc_nulls_last() for c in ([order_by] if isinstance(order_by, str) else order_by)]
+    if last <= NEAR:
+        return df.orderBy(*order).offset(first - 1).limit(max(0, last - first + 1))
+    return number_in_order(df, order, "_row").filter(F.col("_row").between(first, last)).drop("_row")
 
 
 def sort_rows(df: DataFrame, keys: str | list[str]) -> DataFrame:
@@ -41,6 +47,23 @@ def sort_rows(df: DataFrame, keys: str | list[str]) -> DataFrame:
     return df.orderBy(*[F.col(k[1:]).desc_nulls_last() if k.startswith("-") else F.col(k).asc_nulls_first() for k in keys])
 
 
+def number_sorted(df: DataFrame, keys: str | list[str], name: str = "position") -> DataFrame:
+    """Each row's number from 1 in the order of ``sort_rows``."""
+    keys = keys.split() if isinstance(keys, str) else keys
+    return number_in_order(df, [F.col(k[1:]).desc_nulls_last() if k.startswith("-") else F.col(k).asc_nulls_first() for k in keys], name)
+
+
+def cross_levels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct combinations of the columns that occur, without those that have a null."""
+    return df.select(*columns).dropna().distinct()
+
+
+def reshape_wide(df: DataFrame, keys: list[str], column: str, levels: list, value: str, prefix: str) -> DataFrame:
+    """A row per key with a column ``<prefix><level>`` for each level; the largest value where there are several."""
+    wide = df.groupBy(*keys).pivot(column, levels).agg(F.max(value))
+    return wide.withColumnsRenamed({str(k): f"{prefix}{k}" for k in levels})
+
+
 def sample_rows(df: DataFrame, share: float, seed: int = 0) -> DataFrame:
     """A share of the rows without replacement; seed 0 draws anew each time."""
     require(0 <= share <= 1, 198, "the share is between 0 and 1")
@@ -138,8 +161,7 @@ def number_rows(df: DataFrame, by: list[str], order_by: list[str], name: str = "
 def group_number(df: DataFrame, keys: list[str], name: str = "group") -> DataFrame:
     """Number of each distinct key from 1 in order of the keys, null keys included; made from the distinct keys, not from all rows."""
     levels = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
-    order = Window.orderBy(*[F.col(f"_k{i}").asc_nulls_last() for i in range(len(keys))])
-    numbered = levels.withColumn(name, F.row_number().over(order))
+    numbered = number_in_order(levels, [F.col(f"_k{i}").asc_nulls_last() for i in range(len(keys))], name).withColumn(name, F.col(name).cast("int"))
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))

@@ -54,7 +54,10 @@ class Context:
         require(self.kind != "pweight", 198, "sd is not allowed with pweights")
         if self.kind is None:
             return F.stddev_samp(self.x)
-        spread = F.sum(self.w * self.x * self.x) - F.try_divide(F.sum(self.w * self.x) * F.sum(self.w * self.x), self.sum_w)
+        # sum of w (x - weighted mean)^2 by co-moments about the plain means, which Spark merges without cancellation
+        n, w = F.count(self.x), F.when(self.x.isNotNull(), self.w)
+        lean = n * F.covar_pop(w, self.x)
+        spread = n * F.covar_pop(w * self.x, self.x) - F.avg(self.x) * lean - F.try_divide(lean * lean, self.sum_w)
         spread = F.greatest(spread, F.lit(0.0))
         if self.kind == "aweight":
             return F.sqrt(F.try_divide(F.try_divide(spread * F.count(self.x), self.sum_w), F.count(self.x) - F.lit(1.0)))
@@ -153,7 +156,8 @@ def summarize(
 ) -> DataFrame:
     """by..., varname, varlab and a column for each statistic; with ``by`` the grand total has the code -1 (text groups: Total).
 
-    Rows whose group is null count in the total alone. ``fast`` uses approximate percentiles. ``subtotals`` adds the totals
+    Rows whose group is null count in the total alone. ``fast`` uses approximate percentiles, but exact ones with weights. ``first`` and ``last`` of rows
+    that tie in ``order_by`` are any of them. ``subtotals`` adds the totals
     of leading groups. ``format`` is a display format for numbers, or ``auto``. ``save`` writes a workbook as well.
     """
     df = resolve(source)
@@ -175,7 +179,8 @@ def summarize(
     result = _wide(df, rows, variables, by, [s for s in stats if s in STATS or s == "percent"], weight, order_by, sets)
     if ranks:
         ps = sorted({p for need in ranks.values() for p in need})
-        found = (_fast_ranks if fast else _ranks)(df, rows, variables, by, ps, sets)
+        # the sketch takes no weights; weighted ranks are exact
+        found = (_fast_ranks if fast and weight is None else _ranks)(df, rows, variables, by, ps, sets)
         result = result.join(found, [*by, "varname"], "left")
     made = {"median": F.col("p50") if 50 in {p for need in ranks.values() for p in need} else None, "iqr": F.col("p75") - F.col("p25") if "iqr" in ranks else None}
     labels = {v: clean_label((df.schema[v].metadata or {}).get("label", "")) for v in variables}

@@ -5,7 +5,6 @@ Computed doubles are rounded on both sides, as sums run in another order.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions.expressions import filter_rows
 from ..functions.labels import clean_label_column
 from ..operators import metadata, select
+from ..operators.ordering import shared_folder
 from ..operators.summary import summarize
 from ..operators.tables import tabulate
 from ..operators.weights import Weight
@@ -171,12 +171,13 @@ def stats_negative(spark, sf_dir):
     return summarize(table(spark, sf_dir, "customer"), "c_acctbal", stats=["count", "mean", "min", "max", "sum"], sort=False)
 
 
-_MOMENTS = "sum(w) AS sw, sum(w * x) AS swx, sum(w * x * x) AS swxx, count(x) AS n, sum(x) AS raw FROM (SELECT l_extendedprice AS x, l_linenumber::DOUBLE AS w, l_linenumber % 3 AS g FROM lineitem) GROUP BY GROUPING SETS ((g), ())"
-_SPREAD = "greatest(swxx - swx * swx / sw, 0)"
+_WEIGHTED = "SELECT l_extendedprice AS x, l_linenumber::DOUBLE AS w, l_linenumber % 3 AS g FROM lineitem"
+_CENTRED = f"SELECT *, sum(w * x) OVER (PARTITION BY g) / sum(w) OVER (PARTITION BY g) AS m FROM ({_WEIGHTED} UNION ALL SELECT x, w, -1 AS g FROM ({_WEIGHTED}))"
+_MOMENTS = f"sum(w) AS sw, sum(w * x) AS swx, sum(w * (x - m) * (x - m)) AS spread, count(x) AS n, sum(x) AS raw FROM ({_CENTRED}) GROUP BY g"
 
 
 def weighted_sql(count: str, total: str, sd: str | None) -> str:
-    return f"SELECT g, 'l_extendedprice' AS varname, '' AS varlab, {count} AS count, {_r('swx / sw', 'mean')}, {_r(total, '"sum"')}, {_r('raw', 'rawsum')}{', ' + _r(f'sqrt({sd})', 'sd') if sd else ''} FROM (SELECT CASE WHEN grouping(g) = 1 THEN -1 ELSE g END AS g, {_MOMENTS})"
+    return f"SELECT g, 'l_extendedprice' AS varname, '' AS varlab, {count} AS count, {_r('swx / sw', 'mean')}, {_r(total, '"sum"')}, {_r('raw', 'rawsum')}{', ' + _r(f'sqrt({sd})', 'sd') if sd else ''} FROM (SELECT g, {_MOMENTS})"
 
 
 def weighted_stats(spark, sf_dir, kind: str) -> DataFrame:
@@ -185,17 +186,17 @@ def weighted_stats(spark, sf_dir, kind: str) -> DataFrame:
     return summarize(items, "l_extendedprice", by="g", weight=Weight(kind, "l_linenumber"), stats=stats, sort=False)
 
 
-@query(weighted_sql("sw::BIGINT", "swx", f"{_SPREAD} / (sw - 1)"))
+@query(weighted_sql("sw::BIGINT", "swx", "spread / (sw - 1)"))
 def stats_weighted_f(spark, sf_dir):
     return weighted_stats(spark, sf_dir, "fweight")
 
 
-@query(weighted_sql("n::BIGINT", "swx * n / sw", f"{_SPREAD} * n / sw / (n - 1)"))
+@query(weighted_sql("n::BIGINT", "swx * n / sw", "spread * n / sw / (n - 1)"))
 def stats_weighted_a(spark, sf_dir):
     return weighted_stats(spark, sf_dir, "aweight")
 
 
-@query(weighted_sql("sw", "swx", f"{_SPREAD} / (sw - 1)"))
+@query(weighted_sql("sw", "swx", "spread / (sw - 1)"))
 def stats_weighted_i(spark, sf_dir):
     return weighted_stats(spark, sf_dir, "iweight")
 
@@ -244,6 +245,20 @@ def stats_nomiss(spark, sf_dir):
     return summarize(documents_labels(spark, sf_dir), "n_chars quality toxic", nomiss=True, sort=False)
 
 
+@query(stats_sql("lineitem", "l_extendedprice", "median p90", "l_linenumber"))
+def stats_fast_weighted(spark, sf_dir):
+    """With weights (of 1 here) the fast way gives exact ranks."""
+    items = table(spark, sf_dir, "lineitem").withColumn("one", F.lit(1))
+    return summarize(items, "l_extendedprice", by="l_linenumber", stats=["median", "p90"], fast=True, weight=Weight("fweight", "one"), sort=False)
+
+
+@query("SELECT 'x' AS varname, '' AS varlab, round(sqrt(sum(w * (x - m) * (x - m)) / (sum(w) - 1)), 3)::DOUBLE AS sd FROM (SELECT l_linenumber AS x, l_quantity AS w, sum(l_quantity * l_linenumber) OVER () / sum(l_quantity) OVER () AS m FROM lineitem)")
+def stats_weighted_far(spark, sf_dir):
+    """The spread of values that all lie far from 0 is that of the same values near it."""
+    items = table(spark, sf_dir, "lineitem").withColumn("x", F.col("l_linenumber") + F.lit(1e9))
+    return summarize(items, "x", stats=["sd"], weight=Weight("fweight", "l_quantity"), sort=False).withColumn("sd", F.round("sd", 3))
+
+
 @query()
 def stats_fast(spark, sf_dir):
     return summarize(table(spark, sf_dir, "lineitem"), "l_extendedprice", by="l_linenumber", fast=True, sort=False)
@@ -436,9 +451,16 @@ def read_window(spark, sf_dir):
     return parquetio.read(spark, f"{sf_dir}/nation.parquet", "n_nationkey n_name", "n_regionkey != 1", (6, 15))
 
 
-@query("SELECT c_custkey, c_nationkey, c_acctbal FROM customer ORDER BY c_nationkey, c_acctbal DESC, c_custkey LIMIT 100")
+@query("SELECT c_custkey, row_number() OVER (ORDER BY c_nationkey, c_acctbal DESC, c_custkey) AS position FROM customer")
 def sort_multi(spark, sf_dir):
-    return select.sort_rows(table(spark, sf_dir, "customer"), "c_nationkey -c_acctbal c_custkey").select("c_custkey", "c_nationkey", "c_acctbal").limit(100)
+    """All rows, with their places in the order."""
+    return select.number_sorted(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal"), "c_nationkey -c_acctbal c_custkey").select("c_custkey", "position")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS i FROM orders) WHERE i BETWEEN 200 AND 12000")
+def row_window_far(spark, sf_dir):
+    """A window beyond what a limit of the sorted rows serves."""
+    return select.row_window(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 200, 12_000, ["o_totalprice", "o_orderkey"])
 
 
 @query("SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::INTEGER AS o_custkey, round(o_totalprice::FLOAT::DOUBLE, 6) AS price, o_orderstatus FROM orders")
@@ -470,21 +492,16 @@ def sample(spark, sf_dir):
 # ---- files ----
 
 
-def _folder(spark: SparkSession) -> str:
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "/tmp/cairnstat"
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
 @query("SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
 def partition_roundtrip(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    path = parquetio.write(items, f"{_folder(spark)}/parts", partition_by="l_returnflag")
+    path = parquetio.write(items, f"{shared_folder(spark)}/parts", partition_by="l_returnflag")
     return parquetio.read(spark, path).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
 
 
-@query("SELECT codec, o_orderkey, o_totalprice FROM orders, (SELECT unnest(['archive', 'balanced', 'fast', 'gzip', 'snappy', 'uncompressed']) AS codec) WHERE o_orderkey <= 400")
+@query("SELECT codec, o_orderkey, o_totalprice FROM orders, (SELECT unnest(['archive', 'balanced', 'fast', 'gzip', 'snappy', 'uncompressed']) AS codec)")
 def codec_roundtrip(spark, sf_dir):
-    orders, base, out = table(spark, sf_dir, "orders").filter("o_orderkey <= 400").select("o_orderkey", "o_totalprice"), _folder(spark), None
+    orders, base, out = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), shared_folder(spark), None
     for codec in ("archive", "balanced", "fast", "gzip", "snappy", "uncompressed"):
         back = parquetio.read(spark, parquetio.write(orders, f"{base}/{codec}", compress=codec)).select(F.lit(codec).alias("codec"), "o_orderkey", "o_totalprice")
         out = back if out is None else out.unionByName(back)
@@ -493,7 +510,7 @@ def codec_roundtrip(spark, sf_dir):
 
 @query("SELECT n_nationkey, (n_nationkey % 3)::BIGINT AS part FROM nation")
 def glob_filename(spark, sf_dir):
-    nations, base = table(spark, sf_dir, "nation"), _folder(spark)
+    nations, base = table(spark, sf_dir, "nation"), shared_folder(spark)
     for k in range(3):
         nations.filter(F.col("n_nationkey") % 3 == k).select("n_nationkey").write.parquet(f"{base}/n-{k}.parquet")
     return parquetio.read(spark, f"{base}/n-*.parquet", "n_nationkey", filename="part")
@@ -502,7 +519,7 @@ def glob_filename(spark, sf_dir):
 @query("SELECT s_suppkey, s_acctbal FROM supplier WHERE s_acctbal < 0")
 def filtered_save(spark, sf_dir):
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
-    return parquetio.read(spark, parquetio.write(suppliers, f"{_folder(spark)}/below", where="s_acctbal < 0"))
+    return parquetio.read(spark, parquetio.write(suppliers, f"{shared_folder(spark)}/below", where="s_acctbal < 0"))
 
 
 @query("SELECT * FROM (VALUES ('n_nationkey', 'long', '%12.0f', '', ''), ('n_name', 'string', '%9s', '', ''), ('n_regionkey', 'long', '%12.0f', '', '')) AS t(varname, vartype, format, vallab, varlab)")
@@ -589,12 +606,17 @@ def expand_total(spark, sf_dir):
     return select.expand_rows(table(spark, sf_dir, "region"), 2).select("r_regionkey", "copy")
 
 
-@query("SELECT DISTINCT p_size FROM part")
+@query("SELECT DISTINCT p_size, p_brand FROM part WHERE p_size IS NOT NULL AND p_brand IS NOT NULL")
 def distinct_levels(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_size").distinct()
+    return select.cross_levels(table(spark, sf_dir, "part"), ["p_size", "p_brand"])
+
+
+@query("SELECT s_suppkey, max(s_acctbal) OVER (PARTITION BY s_nationkey) AS top FROM supplier")
+def group_max(spark, sf_dir):
+    return select.group_value(table(spark, sf_dir, "supplier"), ["s_nationkey"], "s_acctbal", "max", "top").select("s_suppkey", "top")
 
 
 @query("SELECT n_regionkey, max(CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey END) AS key0, max(CASE WHEN n_nationkey % 2 = 1 THEN n_nationkey END) AS key1 FROM nation GROUP BY 1")
 def reshape_wide(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").withColumn("odd", F.col("n_nationkey") % 2)
-    return nations.groupBy("n_regionkey").pivot("odd", [0, 1]).agg(F.max("n_nationkey")).withColumnsRenamed({"0": "key0", "1": "key1"})
+    return select.reshape_wide(nations, ["n_regionkey"], "odd", [0, 1], "n_nationkey", "key")

@@ -96,3 +96,43 @@ def test_result_formats_and_labels(spark):
     assert out.first().varlab == "Size"
     assert {f.name: f.metadata["format"] for f in out.schema if f.name in ("count", "max")} == {"count": "%3.0f", "max": "%7.0fc"}
     assert summarize(df, "x", stats=["max"], format="%9.2f").schema["max"].metadata["format"] == "%9.2f"
+
+
+def test_weighted_spread_far_from_zero(spark):
+    df = spark.createDataFrame([(1e9 + k, w) for k, w in ((0, 1.0), (1, 1.0), (2, 1.0))], "x double, w double")
+    assert summarize(df, "x", stats=["sd"], weight=Weight("fweight", "w")).first().sd == pytest.approx(1.0, rel=1e-6)
+    df = spark.createDataFrame([(g * 1e9 + k, float(w), g) for g in (0, 1) for k, w in ((0, 1), (1, 2), (2, 5), (7, 3))], "x double, w double, g int")
+    got = {r.g: r.sd for r in summarize(df, "x", by="g", stats=["sd"], weight=Weight("fweight", "w")).collect()}
+    every = [0] + [1] * 2 + [2] * 5 + [7] * 3
+    mean = sum(every) / 11
+    want = (sum((x - mean) ** 2 for x in every) / 10) ** 0.5
+    assert got[0] == pytest.approx(want, rel=1e-9) and got[1] == pytest.approx(want, rel=1e-6)
+
+
+def test_fast_with_weights(spark):
+    df = spark.createDataFrame([(0.0, 5.0), (2.0, 1.0), (4.0, 1.0)], "x double, w double")
+    assert summarize(df, "x", stats=["median"], fast=True, weight=Weight("fweight", "w")).first()["median"] == 0.0
+    assert summarize(df, "x", stats=["median"], fast=True).first()["median"] == 2.0
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_percentile_levels(spark, levels):
+    from cairnstat.operators.percentiles import percentiles
+
+    random.seed(4)
+    data = [(g, random.gauss(0, 5)) for g in (1, 2) for _ in range(5000)]
+    rows = spark.createDataFrame(data, "g int, x double").selectExpr("g", "x", "1.0D AS w")
+    out = {r.g: r for r in percentiles(rows, ["g"], [1, 50, 75, 99], levels=levels).collect()}
+    for g in (1, 2):
+        assert [out[g][f"p{p}"] for p in (1, 50, 75, 99)] == [rank([x for k, x in data if k == g], p) for p in (1, 50, 75, 99)]
+
+
+def test_numbers_in_order(spark):
+    from cairnstat.operators.select import group_number, number_sorted, row_window
+
+    df = spark.range(0, 30_000, numPartitions=5).selectExpr("id", "(id * 7919) % 30011 AS k")
+    want = {r: n for n, r in enumerate(sorted((k * 7919) % 30011 for k in range(30_000)), 1)}
+    assert all(want[r.k] == r.position for r in number_sorted(df, "k").collect())
+    got = sorted(r.k for r in row_window(df, 11_001, 11_010, "k").collect())
+    assert [want[k] for k in got] == list(range(11_001, 11_011))
+    assert {(r.id, r.group) for r in group_number(spark.createDataFrame([(1, "b"), (2, None), (3, "a"), (4, "b")], "id int, s string"), ["s"]).collect()} == {(1, 2), (2, 3), (3, 1), (4, 2)}
