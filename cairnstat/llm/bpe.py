@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import sys
+import struct
 import unicodedata
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -34,6 +34,8 @@ WINDOW_TOKENS = 4
 #: Bytes that the remembered cuts of a worker take, and the longest of them in characters.
 REMEMBER_BYTES = 64 << 20
 REMEMBER_CHARS = 64
+#: What Python needs for an entry besides its characters and ids.
+ENTRY_BYTES = 190
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -126,17 +128,18 @@ class Codec:
         text = cut
         if self.suffix:
             # one code point at a time, as the file's lower-casing has no context
-            text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+            text = cut.lower() if cut.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", text)))
         got: list[int] = []
-        for piece in self.pattern.findall(text):
+        # letters of ASCII are one piece
+        for piece in [text] if text.isascii() and text.isalpha() else self.pattern.findall(text):
             got += self.piece(piece.encode())
-        ids = np.array(got, "<u4").tobytes()
+        ids = struct.pack(f"<{len(got)}I", *got)
         if len(cut) <= REMEMBER_CHARS:
             if self.remembered >= REMEMBER_BYTES:
                 self.memory.clear()
                 self.remembered = 0
             self.memory[cut] = ids
-            self.remembered += 100 + sys.getsizeof(cut) + sys.getsizeof(ids)
+            self.remembered += ENTRY_BYTES + 2 * len(cut) + len(ids)
         return ids
 
     #: A blank with other white space beside it.
