@@ -170,13 +170,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             for row in batch.to_pylist():
                 if row["dict_sha256"] != sha:
                     raise ValueError("a block was written with another dictionary")
-                body, at = memoryview(row["payload"]), row["offsets"]
-                ids = [reader.decompress(body[a:b]) for a, b in zip(at, at[1:], strict=False)]
-                n = [len(x) // width for x in ids]
+                body, at, n, crc = memoryview(row["payload"]), row["offsets"], [], []
+                for a, b in zip(at, at[1:], strict=False):  # one document's ids at a time, as small frames can hold many
+                    ids = np.frombuffer(reader.decompress(body[a:b]), f"<u{width}")
+                    n.append(len(ids))
+                    crc.append(zlib.crc32(ids.astype("<u4")))
                 if n != row["n_tokens"]:
                     raise ValueError("a frame holds another number of ids than the index says")
                 start = before[row["file"]] + row["first"] + np.concatenate([[0], np.cumsum(n)[:-1]])
-                crc = [zlib.crc32(np.frombuffer(x, f"<u{width}").astype("<u4").tobytes()) for x in ids]
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return arrow_map(blocks.drop("least", "greatest"), unpack, "doc_id long, start long, n_tokens long, ids_crc32 long")
