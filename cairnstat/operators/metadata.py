@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
+from typing import ClassVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,20 @@ class Metadata:
                 require(str(v["value"]).lstrip("-").isdigit(), 198, f"value label {own['name']} has a key that is not an integer")
         return found
 
+    #: Names that bundles in the footers of other writers use for what ``vars`` calls type, varlab and vallab.
+    FOOTER_NAMES: ClassVar[dict[str, str]] = {"stata_type": "type", "var_label": "varlab", "value_label": "vallab"}
+
+    @classmethod
+    def from_footer(cls, text: str) -> Metadata:
+        """A bundle from a file's footer. Its value labels may be flat, one {name, value, text} for each code."""
+        data = json.loads(text)
+        data["vars"] = [{cls.FOOTER_NAMES.get(k, k): x for k, x in v.items()} for v in data.get("vars", [])]
+        sets: dict[str, list[dict]] = {}
+        for v in data.get("value_labels", []):
+            sets.setdefault(v["name"], []).extend(v["values"] if "values" in v else [{"value": v["value"], "text": v["text"]}])
+        data["value_labels"] = [{"name": k, "values": own} for k, own in sets.items()]
+        return cls.from_json(json.dumps(data))
+
     @classmethod
     def of(cls, df: DataFrame, *, label: str = "", notes: list[str] | None = None, nolabel: bool = False) -> Metadata:
         """Bundle of a table's columns; without labels and notes under ``nolabel``."""
@@ -127,6 +142,23 @@ def describe_metadata(df: DataFrame, *, label: str = "", notes: list[str] | None
     return out
 
 
+@dataclass
+class Described:
+    """What a description returns besides its tables: rows, columns, names, and the names of value label sets."""
+
+    N: int
+    k: int
+    varlist: str
+    labels: str
+    source: str = ""
+
+
+def returned(df: DataFrame, source: str = "") -> Described:
+    """Reads the table only to count it."""
+    labels = sorted({f.metadata.get("value_label") or f.name for f in df.schema if (f.metadata or {}).get("value_labels")})
+    return Described(df.count(), len(df.columns), " ".join(df.columns), " ".join(labels), source)
+
+
 def report(frames: dict[str, DataFrame]) -> dict[str, int]:
     """Rows of each frame."""
     return {k: v.count() for k, v in frames.items()}

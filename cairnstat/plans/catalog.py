@@ -522,6 +522,28 @@ def filtered_save(spark, sf_dir):
     return parquetio.read(spark, parquetio.write(suppliers, f"{shared_folder(spark)}/below", where="s_acctbal < 0"))
 
 
+@query("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
+def single_file(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    return parquetio.read(spark, parquetio.write(orders, f"{shared_folder(spark)}/orders", single=True))
+
+
+@query("SELECT c_custkey::DOUBLE AS key, c_acctbal AS amount, NULL::BIGINT AS nation FROM customer UNION ALL SELECT s_suppkey + 0.5::DOUBLE, s_acctbal, s_nationkey::BIGINT FROM supplier")
+def widened_files(spark, sf_dir):
+    base = shared_folder(spark)
+    table(spark, sf_dir, "customer").selectExpr("c_custkey AS key", "c_acctbal AS amount").write.parquet(f"{base}/w-1.parquet")
+    table(spark, sf_dir, "supplier").selectExpr("s_suppkey + 0.5D AS key", "s_acctbal AS amount", "cast(s_nationkey AS long) AS nation").write.parquet(f"{base}/w-2.parquet")
+    return parquetio.read(spark, f"{base}/w-*.parquet")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem")
+def folder_scan(spark, sf_dir):
+    items, base = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"), shared_folder(spark)
+    for k in range(2):
+        items.filter(F.col("l_linenumber") % 2 == k).write.parquet(f"{base}/all/part{k}")
+    return parquetio.read(spark, f"{base}/all", recursive=True)
+
+
 @query("SELECT * FROM (VALUES ('n_nationkey', 'long', '%12.0f', '', ''), ('n_name', 'string', '%9s', '', ''), ('n_regionkey', 'long', '%12.0f', '', '')) AS t(varname, vartype, format, vallab, varlab)")
 def describe_schema(spark, sf_dir):
     return parquetio.describe(spark, f"{sf_dir}/nation.parquet")[1]

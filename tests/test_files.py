@@ -1,13 +1,18 @@
+import json
 import zipfile
+from dataclasses import asdict
 from datetime import date, datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from cairnstat import EngineError, Frames, Metadata, describe, describe_metadata, read, summarize, write
-from cairnstat.operators.metadata import annotate
+from cairnstat.operators.metadata import annotate, returned
 from cairnstat.operators.select import encode_categories, widest
 from cairnstat.sources import dta
+from cairnstat.sources.parquetio import has_metadata_key, load_metadata
 from cairnstat.sources.xlsx import save_tables
 
 
@@ -148,6 +153,74 @@ def test_frames(spark):
         frames.get("_df")
 
 
+def test_types_of_files_widen(spark, tmp_path):
+    for k, df in enumerate((spark.range(3).selectExpr("cast(id as int) AS x", "'a' AS s"), spark.range(3).selectExpr("id + 0.5D AS x"), spark.range(2).selectExpr("id AS x"))):
+        df.coalesce(1).write.parquet(f"{tmp_path}/w-{k}.parquet")
+    out = read(spark, f"{tmp_path}/w-*.parquet", filename="k")
+    assert dict(out.dtypes) == {"x": "double", "s": "string", "k": "bigint"}
+    assert sorted((r.k, r.x, r.s) for r in out.collect()) == [(0, 0, "a"), (0, 1, "a"), (0, 2, "a"), (1, 0.5, None), (1, 1.5, None), (1, 2.5, None), (2, 0, None), (2, 1, None)]
+    assert sorted(r.x for r in read(spark, f"{tmp_path}/w-*.parquet", window=(3, 5)).collect()) == [0.5, 1.5, 2]
+    assert read(spark, [f"{tmp_path}/w-0.parquet", f"{tmp_path}/w-1.parquet"], "x").dtypes == [("x", "double")]
+
+
+def test_single_file(spark, ten, tmp_path):
+    path = write(annotate(ten.repartition(4), "id", label="Number"), f"{tmp_path}/one", single=True, label="Ten")
+    assert sorted(f.name for f in tmp_path.iterdir() if not f.name.startswith(".")) == ["_one.parquet_dtmeta.json", "one.parquet"] and (tmp_path / "one.parquet").is_file()
+    back = read(spark, path)
+    assert back.count() == 10 and back.schema["id"].metadata["label"] == "Number" and load_metadata(spark, path).dta_label == "Ten"
+    assert read(spark, str(tmp_path)).count() == 10
+    with pytest.raises(EngineError) as e:
+        write(ten, f"{tmp_path}/one", single=True)
+    assert e.value.code == 602
+    write(ten.limit(3), f"{tmp_path}/one", single=True, replace=True)
+    assert read(spark, path).count() == 3
+
+
+def test_folders_without_files(spark, ten, tmp_path):
+    (tmp_path / "a" / "b" / "c" / "d").mkdir(parents=True)
+    (tmp_path / "a" / "note.txt").write_text("x")
+    with pytest.raises(EngineError) as e:
+        read(spark, f"{tmp_path}/a")
+    assert e.value.code == 601
+    write(ten, f"{tmp_path}/a/b/c/d/deep", single=True)
+    with pytest.raises(EngineError):
+        read(spark, f"{tmp_path}/a", recursive=True)
+    write(ten, f"{tmp_path}/a/b/near", single=True)
+    assert read(spark, f"{tmp_path}/a/b", recursive=True).count() == 20
+
+
+def test_footer_metadata(spark, tmp_path):
+    bundle = {"schema_version": 1, "min_reader_version": 1, "dta_label": "d", "vars": [{"name": "z", "stata_type": "byte", "format": "%8.0g", "var_label": "z label", "value_label": "zlbl"}],
+              "value_labels": [{"name": "zlbl", "value": 1, "text": "one"}, {"name": "zlbl", "value": 2, "text": "two"}], "var_notes": [{"varname": "z", "text": "n"}]}
+    kept = pa.table({"z": [1, 2, 1]})
+    pq.write_table(kept.replace_schema_metadata({"some.key": json.dumps(bundle)}), f"{tmp_path}/f.parquet")
+    assert has_metadata_key(spark, f"{tmp_path}/f", "some.key") and not has_metadata_key(spark, f"{tmp_path}/f", "other")
+    found = read(spark, f"{tmp_path}/f.parquet", metadata_key="some.key").schema["z"].metadata
+    assert (found["label"], found["value_labels"], found["notes"], found["storage_type"]) == ("z label", {"1": "one", "2": "two"}, ["n"], "byte")
+    assert "label" not in read(spark, f"{tmp_path}/f.parquet").schema["z"].metadata
+
+
+def test_leaf_metadata(spark, tmp_path):
+    df = annotate(spark.range(1, 11).selectExpr("cast(id > 5 as int) AS g", "cast(id as int) AS z"), "z", label="z label", value_labels={1: "one"})
+    path = write(df.coalesce(1), f"{tmp_path}/p", partition_by="g", label="Parts")
+    leaf = next((tmp_path / "p" / "g=0").glob("*.parquet"))
+    for place in (str(leaf), f"{path}/g=0", f"{path}/g=*"):
+        assert load_metadata(spark, place).dta_label == "Parts" and load_metadata(spark, place).dta_vars == 2
+        assert read(spark, place).schema["z"].metadata["label"] == "z label"
+
+
+def test_dictionaries_are_categories(spark, tmp_path):
+    pq.write_table(pa.table({"i": [1, 2, 3, 4], "cat": pa.array(["red", "blue", "red", "green"]).dictionary_encode(), "s": ["a", "b", "c", "d"]}), f"{tmp_path}/c.parquet")
+    out = read(spark, f"{tmp_path}/c.parquet", catmode="encode")
+    assert [(r.cat, r.s) for r in out.orderBy("i").collect()] == [(3, "a"), (1, "b"), (3, "c"), (2, "d")] and out.schema["cat"].metadata["value_labels"] == {"1": "blue", "2": "green", "3": "red"}
+    assert [r.cat for r in read(spark, f"{tmp_path}/c.parquet").orderBy("i").collect()] == ["red", "blue", "red", "green"]
+
+
+def test_returned(spark):
+    df = annotate(spark.range(3).selectExpr("cast(id as int) AS x", "id AS y"), "x", value_label="xl", value_labels={1: "One"})
+    assert asdict(returned(df, "src")) == {"N": 3, "k": 2, "varlist": "x y", "labels": "xl", "source": "src"}
+
+
 def test_widest():
     from pyspark.sql import types as T
 
