@@ -528,11 +528,11 @@ def single_file(spark, sf_dir):
     return parquetio.read(spark, parquetio.write(orders, f"{shared_folder(spark)}/orders", single=True))
 
 
-@query("SELECT c_custkey::DOUBLE AS key, c_acctbal AS amount, NULL::BIGINT AS nation FROM customer UNION ALL SELECT s_suppkey + 0.5::DOUBLE, s_acctbal, s_nationkey::BIGINT FROM supplier")
+@query("SELECT c_custkey::DOUBLE AS key, c_acctbal AS amount, NULL::VARCHAR AS name FROM customer UNION ALL SELECT s_suppkey::DOUBLE + 0.5::DOUBLE, s_acctbal, s_name FROM supplier")
 def widened_files(spark, sf_dir):
     base = shared_folder(spark)
     table(spark, sf_dir, "customer").selectExpr("c_custkey AS key", "c_acctbal AS amount").write.parquet(f"{base}/w-1.parquet")
-    table(spark, sf_dir, "supplier").selectExpr("s_suppkey + 0.5D AS key", "s_acctbal AS amount", "cast(s_nationkey AS long) AS nation").write.parquet(f"{base}/w-2.parquet")
+    table(spark, sf_dir, "supplier").selectExpr("s_suppkey + 0.5D AS key", "s_acctbal AS amount", "s_name AS name").write.parquet(f"{base}/w-2.parquet")
     return parquetio.read(spark, f"{base}/w-*.parquet")
 
 
