@@ -17,6 +17,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -72,72 +73,146 @@ def best_fit(counts: dict[int, int], room: int = ROOM) -> Counter[tuple[int, ...
     return out
 
 
-def _better(a: tuple[int, ...], b: tuple[int, ...], room: int) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
-    """Lengths of two sequences after the exchange that raises the squared fill most, the fuller one last; None if there is none.
+def _gives(a: tuple[int, ...]) -> np.ndarray:
+    """What a sequence can give in an exchange: the lengths of one document, and of two, ascending."""
+    one, n = np.unique(np.array(a, np.int64), return_counts=True)
+    i, k = np.triu_indices(len(one))
+    fits = (i != k) | (n[i] > 1)
+    return np.unique(np.r_[one, one[i[fits]] + one[k[fits]]])
 
-    Tried: moving a document from ``a`` into ``b``, one of ``a`` for one of ``b``, two of ``a`` for one of ``b``.
+
+def _taken(a: tuple[int, ...], give: int) -> tuple[int, ...]:
+    """The one document or two of ``a`` that are ``give`` long together."""
+    if give in a:
+        return (give,)
+    left = Counter(a)
+    return next((x, give - x) for x in a if left[give - x] > (x == give - x))
+
+
+class _Partners:
+    """What underfull sequences offer in an exchange: a row for each length they would give back, 0 for a plain move.
+
+    ``target`` is what the other side may give at most: the room left and what is given back. Rows are in order of their pattern's serial number, so
+    those that came after a sequence was tried are the end of the table. Patterns without sequences are deleted at times.
     """
-    slack = room - sum(b)
-    best, found = 0, None
-    for x in set(a):
-        if best < x <= slack:
-            best, found = x, ((x,), ())
-    for y in set(b):
-        for x in set(a):
-            if best < x - y <= slack:
-                best, found = x - y, ((x,), (y,))
-        items = sorted(set(a))
-        for i, x in enumerate(items):
-            for z in items[i:]:
-                if (z != x or a.count(x) > 1) and best < x + z - y <= slack:
-                    best, found = x + z - y, ((x, z), (y,))
-    if not found:
-        return None
-    less, more = Counter(a), Counter(b)
-    for x in found[0]:
-        less[x] -= 1
-        more[x] += 1
-    for y in found[1]:
-        more[y] -= 1
-        less[y] += 1
-    order = lambda c: tuple(sorted(c.elements(), reverse=True))
-    return order(+less), order(+more)
+
+    def __init__(self) -> None:
+        self.patterns: dict[int, tuple[int, ...]] = {}
+        self.serials: dict[tuple[int, ...], int] = {}
+        self.next, self.size, self.dead = 0, 0, 0
+        self.rows = np.zeros((3, 1024), np.int64)  # serial, target, given back
+
+    def add(self, pattern: tuple[int, ...], room: int) -> None:
+        self.remove(pattern)
+        back = np.r_[0, np.unique(np.array(pattern, np.int64))]
+        end = self.size + len(back)
+        if end > self.rows.shape[1]:
+            self.rows = np.concatenate([self.rows, np.zeros((3, max(end, self.size)), np.int64)], 1)
+        self.rows[0, self.size : end] = self.next
+        self.rows[1, self.size : end] = room - sum(pattern) + back
+        self.rows[2, self.size : end] = back
+        self.patterns[self.next], self.serials[pattern] = pattern, self.next
+        self.next, self.size = self.next + 1, end
+
+    def remove(self, pattern: tuple[int, ...]) -> None:
+        serial = self.serials.pop(pattern, None)
+        if serial is None:
+            return
+        del self.patterns[serial]
+        first, end = np.searchsorted(self.rows[0, : self.size], [serial, serial + 1])
+        self.rows[1, first:end] = -1
+        self.dead += int(end - first)
+        if 2 * self.dead > self.size:
+            live = self.rows[:, : self.size][:, self.rows[1, : self.size] >= 0]
+            self.size, self.dead = live.shape[1], 0
+            self.rows[:, : self.size] = live
+
+    def best(self, a: tuple[int, ...], since: int, alone: bool, room: int) -> tuple[tuple[int, ...], int, int] | None:
+        """Partner, length given and length given back that leave the partner fullest, of partners as full as ``a`` or fuller whose serial is
+        ``since`` or later; a move gives one document. None if no exchange raises the squared fill."""
+        first = int(np.searchsorted(self.rows[0, : self.size], since))
+        serial, target, back = self.rows[:, first : self.size]
+        slack = target - back
+        at = np.flatnonzero((target >= 0) & (slack <= room - sum(a)) & (serial != (self.serials.get(a, -1) if alone else -1)))
+        if not len(at):
+            return None
+        target, back = target[at], back[at]
+        gives, ones = _gives(a), np.unique(np.array(a, np.int64))
+        pick = lambda have: np.r_[0, have][np.searchsorted(have, target, "right")]
+        give = np.where(back == 0, pick(ones), pick(gives))
+        rest = np.where(give > back, target - give, room + 1)
+        k = int(rest.argmin())
+        if rest[k] > room:
+            return None
+        return self.patterns[int(serial[at[k]])], int(give[k]), int(back[k])
 
 
 def local_search(patterns: Counter[tuple[int, ...]], room: int = ROOM) -> Counter[tuple[int, ...]]:
     """Exchange between underfull sequences until no sequence can empty or no exchange helps; full ones stay.
 
-    The emptiest one gives to the partner that ends up fullest; its own rest is looked at again. One that can give nothing is set aside,
-    and comes back when another has changed. The sum of squared fills grows with each exchange, so it ends.
+    Tried are moving a document, one for one, and two for one. The emptiest sequence gives to the partner that ends up fullest; its own rest is
+    looked at again. One that can give nothing is set aside, and comes back for the partners that exchanges have made since. The sum of
+    squared fills grows with each exchange, so it ends.
     """
     done = Counter({p: n for p, n in patterns.items() if sum(p) == room})
     under = Counter({p: n for p, n in patterns.items() if sum(p) < room})
-    idle: Counter[tuple[int, ...]] = Counter()
-    while under:
-        every = under + idle
-        if every.total() <= -(-sum(sum(p) * n for p, n in every.items()) // room):
-            break
-        a = min(under, key=lambda p: (sum(p), p))
-        best = None
-        fuller = (p for p in every if sum(p) >= sum(a) and (p != a or every[p] > 1))
-        for b in sorted(fuller, key=lambda p: (-sum(p), p)):
-            got = _better(a, b, room)
-            if got and (best is None or sum(got[1]) > sum(best[1][1])):
-                best = b, got
-            if best and sum(best[1][1]) == room:
+    bins = under.total()
+    least = -(-sum(sum(p) * n for p, n in under.items()) // room)
+    partners = _Partners()
+    for p in sorted(under, key=lambda p: (-sum(p), p)):
+        partners.add(p, room)
+    tried = dict.fromkeys(under, 0)  # serial up to which a pattern's partners have been tried
+    queue = [(sum(p), p) for p in under]
+    heapify(queue)
+
+    def change(p: tuple[int, ...], n: int) -> None:
+        nonlocal bins
+        if not p:
+            return
+        bins += n
+        if sum(p) == room:
+            done[p] += n
+            return
+        before = under[p]
+        under[p] += n
+        if not under[p]:
+            del under[p]
+            partners.remove(p)
+        elif n > 0 and before < 2:  # new, or the first that can be its own partner
+            partners.add(p, room)
+            if not before:
+                tried[p] = 0
+            heappush(queue, (sum(p), p))
+
+    while bins > least:
+        if not queue:
+            queue = [(sum(p), p) for p in under if tried[p] < partners.next]
+            heapify(queue)
+            if not queue:
                 break
-        if best is None:
-            idle[a] += under.pop(a)
+        _, a = heappop(queue)
+        if not under[a]:
+            continue
+        found = partners.best(a, tried[a], under[a] == 1, room)
+        if found is None:
+            tried[a] = partners.next
             continue
-        b, got = best
-        n = every[a] // 2 if a == b else min(every[a], every[b])
-        every[a] -= n
-        every[b] -= n
-        for p in got:
-            if p:
-                (done if sum(p) == room else every)[p] += n
-        under, idle = +every, Counter()
-    return done + under + idle
+        b, give, back = found
+        n = under[a] // 2 if a == b else min(under[a], under[b])
+        less, more = Counter(a), Counter(b)
+        for x in _taken(a, give):
+            less[x] -= 1
+            more[x] += 1
+        if back:
+            more[back] -= 1
+            less[back] += 1
+        change(a, -n)
+        change(b, -n)
+        for c in (less, more):
+            change(tuple(sorted(c.elements(), reverse=True)), n)
+        if under[a]:
+            heappush(queue, (sum(a), a))
+    return done + under
 
 
 def plan(counts: dict[int, int], room: int = ROOM) -> tuple[np.ndarray, int]:

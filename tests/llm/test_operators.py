@@ -364,6 +364,24 @@ def test_local_search_empties_sequences():
     assert 90 <= after <= 0.95 * before
 
 
+def test_local_search_without_short_documents():
+    """No exchange is left that raises the squared fill, by trying them all; thousands of pieces take seconds."""
+    rng = random.Random(8)
+    counts = Counter(rng.randint(600, 1600) for _ in range(2000))
+    first = packing.best_fit(counts, 4096)
+    found = packing.local_search(first, 4096)
+    assert found.total() < first.total()
+    counts = Counter(rng.randint(20, 45) for _ in range(60))
+    found = packing.local_search(packing.best_fit(counts, 100), 100)
+    if found.total() > -(-sum(s * n for s, n in counts.items()) // 100):
+        under = [p for p in found.elements() if sum(p) < 100]
+        for i, a in enumerate(under):
+            for k, b in enumerate(under):
+                if i != k and sum(b) >= sum(a):
+                    gives = [(x, 0) for x in a] + [(x, y) for x in a for y in b] + [(a[p] + a[q], y) for p in range(len(a)) for q in range(p) for y in b]
+                    assert not any(0 < x - y <= 100 - sum(b) for x, y in gives)
+
+
 def test_packing_of_a_hot_length(spark):
     """Two thirds of the pieces have one length, among them full ones: ranks come from many cells, offsets are gapless."""
     rows = [(k, 0, 0, 4096 if k % 3 else 1000 + k % 50, 0) for k in range(9000)]
