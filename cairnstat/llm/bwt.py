@@ -7,6 +7,8 @@ A shard sorts its own suffixes and keeps the symbol before each. The merge knows
 starts with one shard after the other and refines the interleave; a round takes the symbols before all suffixes in the present order and
 sorts them stably, which orders the suffixes by one symbol more. Two neighbours that a round tells apart have a common prefix of
 one symbol less than that round; suffixes never told apart in ``depth`` rounds are a repeated interval. No round sorts a suffix again.
+
+Texts may also be arrays of wider units (``dtype``), such as codes of words; what is said of bytes holds for those then.
 """
 
 from __future__ import annotations
@@ -43,10 +45,10 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 class Rolling:
-    """Hashes of any stretch of a buffer."""
+    """Hashes of any stretch of a buffer of bytes, or of codes of 64 bits."""
 
     def __init__(self, raw: np.ndarray):
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * powers(_BASE, len(raw)), dtype=np.uint64)])
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((_BYTE[raw] if raw.dtype == np.uint8 else raw) * powers(_BASE, len(raw)), dtype=np.uint64)])
         self.back = powers(pow(_BASE, -1, 1 << 64), len(raw) + 1)
 
     def of(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -82,28 +84,28 @@ class Symbols:
     place: np.ndarray  # position in the text
 
 
-def read_symbols(texts: list[bytes]) -> Symbols:
-    """Every text has ``STEP`` bytes at least."""
-    size = np.array([len(t) for t in texts], np.int64)
-    raw = np.frombuffer(b"".join(texts), np.uint8)
+def read_symbols(texts: list[bytes], step: int = STEP, dtype: type = np.uint8) -> Symbols:
+    """Every text has ``step`` bytes at least."""
+    raw = np.frombuffer(b"".join(texts), dtype)
+    size = np.array([len(t) for t in texts], np.int64) // raw.itemsize
     byte0 = np.cumsum(size) - size
     n = size + 1
     text = np.repeat(np.arange(len(texts)), n)
     place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     length = size[text]
-    last = place + STEP > length
-    at = np.minimum(byte0[text] + place, len(raw) - STEP)
+    last = place + step > length
+    at = np.minimum(byte0[text] + place, len(raw) - step)
     # as many bits of the hash as sort together with the place, 40 at least
     bits = max(40, 63 - max(1, (len(at) - 1).bit_length()))
-    number = dense((Rolling(raw).of(at, at + STEP) >> np.uint64(64 - bits)).astype(np.int64))
+    number = dense((Rolling(raw).of(at, at + step) >> np.uint64(64 - bits)).astype(np.int64))
     ends = int(last.sum())
     rank = number + ends
     rank[last] = np.arange(ends)
     node = np.arange(len(rank))
-    # the end of the string that a node of the first STEP positions opens
-    closes = node + (length - place) // STEP * STEP
-    before = np.where(place >= STEP, node - STEP, closes)
-    return Symbols(rank.astype(np.int64), before, np.where(last, node, node + STEP), text, place)
+    # the end of the string that a node of the first ``step`` positions opens
+    closes = node + (length - place) // step * step
+    before = np.where(place >= step, node - step, closes)
+    return Symbols(rank.astype(np.int64), before, np.where(last, node, node + step), text, place)
 
 
 def sort_shard(s: Symbols, first: int, end: int, depth: int) -> np.ndarray:
@@ -149,9 +151,9 @@ def merge_shards(symbols_before: list[np.ndarray], depth: int) -> tuple[np.ndarr
     return shard, interval, lcp
 
 
-def repeated(texts: list[bytes], depth: int, shard_bytes: int = SHARD_BYTES) -> tuple[Symbols, Merged]:
+def repeated(texts: list[bytes], depth: int, shard_bytes: int = SHARD_BYTES, step: int = STEP, dtype: type = np.uint8) -> tuple[Symbols, Merged]:
     """Suffixes of all texts in one order, from shards of about ``shard_bytes``."""
-    s = read_symbols(texts)
+    s = read_symbols(texts, step, dtype)
     cuts = [0]
     stops = np.flatnonzero(np.r_[s.text[1:] != s.text[:-1], True]) + 1
     for stop in stops.tolist():

@@ -44,8 +44,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of 400 bytes that stand elsewhere too; those of which nothing is left go."""
-    return _recount(passages.remove_passages(docs)).filter(_words_left("text")).select(*docs.columns)
+    """Documents without passages of 400 bytes or of 50 words that stand elsewhere too; those of which nothing is left go."""
+    return _recount(passages.remove_passages(docs, words=passages.WORDS)).filter(_words_left("text")).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

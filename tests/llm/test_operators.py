@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -439,6 +440,52 @@ def test_passages_cases(spark, docs, none, unkeyed):
         passages.with_repeats(docs, length=410)
 
 
+def without_words(texts, n=50):
+    """Texts without the bytes of 400-byte strings and of strings of ``n`` words that start elsewhere too, by brute force."""
+    raws = [(t or "").encode() for t in texts]
+    places = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", r)] for r in raws]
+    strings = [[tuple(r[a:b] for a, b in p[i : i + n]) for i in range(len(p) - n + 1)] for r, p in zip(raws, places, strict=True)]
+    seen = Counter(x for own in strings for x in own)
+    seen_bytes = Counter(r[i : i + 400] for r in raws for i in range(len(r) - 399))
+    out = []
+    for r, p, own in zip(raws, places, strings, strict=True):
+        gone = bytearray(len(r))
+        for i, x in enumerate(own):
+            if seen[x] > 1:
+                a, b = p[i][0], p[i + n - 1][1]
+                gone[a:b] = b"\1" * (b - a)
+        for i in range(len(r) - 399):
+            if seen_bytes[r[i : i + 400]] > 1:
+                gone[i : i + 400] = b"\1" * 400
+        out.append(bytes(b for b, g in zip(r, gone, strict=True) if not g).decode("utf-8", "ignore"))
+    return out
+
+
+def word_passages(seed=5):
+    """Documents that share passages of 49 to 70 short words, under 400 bytes, in any wording of blanks."""
+    rng = random.Random(seed)
+    words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 5))) for _ in range(n)]
+    shared = [words(n) for n in (49, 50, 51, 58, 70)]
+    data = []
+    for k in range(40):
+        own = [*words(rng.randint(0, 90)), *shared[k % 5], *words(rng.randint(0, 90))]
+        data.append((k, rng.choice([" ", "\n", " \t "]).join(own)))
+    data += [(40, "and " * 78), (41, " ".join(words(300))), (42, None), (43, ""), (44, " ".join(words(49))), (None, " ".join(shared[3])), (2, " ".join([*words(9), *shared[4]]))]
+    assert all(len(" ".join(s)) < 400 for s in shared)
+    return data
+
+
+@pytest.mark.parametrize("most", [1000, 3, 0])
+def test_passages_of_words_under_400_bytes(spark, rows, most, monkeypatch):
+    """op7's operator: the same by the transforms and by the counted way, and on the odd documents."""
+    whole = passages.with_repeats
+    monkeypatch.setattr(passages, "with_repeats", lambda *a, **b: whole(*a, **b, most=most))
+    for data in (word_passages(), [(r[0], r[1]) for r in rows]):
+        want = without_words([t for _, t in data])
+        got = passages.remove_passages(spark.createDataFrame(data, "doc_id long, text string"), words=50).collect()
+        assert sorted(((r.doc_id, r.text or "") for r in got), key=str) == sorted(((k, w) for (k, _), w in zip(data, want, strict=True)), key=str)
+
+
 def test_merged_transform_is_the_suffix_order():
     rng = random.Random(4)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randint(40, 300))).encode() * rng.randint(1, 2) for _ in range(9)]

@@ -69,6 +69,18 @@ def test_repeated_and_null_keys(spark, tmp_path):
     assert [t for _, t in got if t in (b, c, d, e)].count(c) == 1 and got == of([(5, a), (7, b), (9, c), (9, d), (None, e)])
 
 
+def test_passages_of_over_50_words_go(spark, tmp_path):
+    """A passage of 55 words in under 400 bytes that stands in several documents goes from them, and nothing else does."""
+    rng = random.Random(12)
+    shared = fixtures.prose(rng, 55).replace("\n", " ")
+    assert len(shared) < 400
+    own = [fixtures.prose(rng, 120) for _ in range(8)]
+    rows = [(k, f"{t} {shared} {t[::-1]}" if k < 4 else t) for k, t in enumerate(own)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t), "x", "y", "z", None, "k", "v") for k, t in rows], fixtures.SCHEMA)
+    got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["suffix-array dedup"](spark, docs, str(tmp_path)).collect()}
+    assert got == {k: f"{t}  {t[::-1]}" if k < 4 else t for k, t in enumerate(own)}
+
+
 def test_null_doc_ids(spark, tmp_path):
     rng = random.Random(3)
     row = lambda d: (d, fixtures.prose(rng, 200), "en", "s", 1, "x", "y", "z", None, "k", "v")
