@@ -51,6 +51,10 @@ class Rolling:
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((_BYTE[raw] if raw.dtype == np.uint8 else raw) * powers(_BASE, len(raw)), dtype=np.uint64)])
         self.back = powers(pow(_BASE, -1, 1 << 64), len(raw) + 1)
 
+    def plain(self, n: int) -> np.ndarray:
+        """Hashes of all stretches of ``n``, good in their high bits only."""
+        return (self.sums[n:] - self.sums[:-n]) * self.back[: len(self.sums) - n]
+
     def of(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[first]) * self.back[first] + (end - first).astype(np.uint64))
 

@@ -80,6 +80,24 @@ def without_passages(texts, length=400):
     return out
 
 
+def passages_and_words(texts, length=400, n=50):
+    """(bytes, runs) of each text covered by strings of ``length`` bytes or of ``n`` words that start elsewhere too."""
+    raws = [(t or "").encode() for t in texts]
+    places = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", r)] for r in raws]
+    strings = [[(p[i][0], p[i + n - 1][1], tuple(r[a:b] for a, b in p[i : i + n])) for i in range(len(p) - n + 1)] for r, p in zip(raws, places, strict=True)]
+    for own, r in zip(strings, raws, strict=True):
+        own += [(i, i + length, r[i : i + length]) for i in range(len(r) - length + 1)]
+    seen = Counter(x for own in strings for _, _, x in own)
+    out = []
+    for r, own in zip(raws, strings, strict=True):
+        gone = bytearray(len(r))
+        for a, b, x in own:
+            if seen[x] > 1:
+                gone[a:b] = b"\1" * (b - a)
+        out.append((sum(gone), sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))))
+    return out
+
+
 def _words(line):
     return [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]
 

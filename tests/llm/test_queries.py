@@ -1,6 +1,7 @@
 """The registered queries that SQL can't express, each by its name, against brute force over the whole small table."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -98,6 +99,19 @@ def test_op7(spark, sf_dir, texts):
     assert got == [(k, sizes[k], sizes[k] - len(kept), spans, hashlib.sha256(kept).hexdigest()) for k, (kept, spans) in zip(texts, want, strict=True)]
 
 
+def test_op7_passages_of_words(spark, sf_dir, texts, tmp_path):
+    """Passages of 50 words and more show in columns of their own, if they have fewer than 400 bytes as well; the others are as before."""
+    rng = random.Random(21)
+    short = fixtures.prose(rng, 55).replace("\n", " ").strip()
+    assert len(short) < 400
+    planted = {k: f"{fixtures.prose(rng, 60)} {short * (k < 3)} {fixtures.prose(rng, 60)}" for k in range(5)}
+    spark.createDataFrame(list(planted.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for where, table in ((str(tmp_path), planted), (sf_dir, texts)):
+        got = {r.doc_id: (r.n_removed, r.n_passage_bytes, r.n_passages) for r in answer(spark, where, "op7_passages")}
+        assert {k: g[1:] for k, g in got.items()} == dict(zip(table, fixtures.passages_and_words(table.values()), strict=True))
+        assert where == sf_dir or all(g[0] == 0 and (g[1:] == (len(short), 1) if k < 3 else g[1] == 0) for k, g in got.items())
+
+
 def test_op8(spark, sf_dir, texts):
     got = answer(spark, sf_dir, "op8_sharding")
     assert sorted((r.doc_id, r.size, r.text_crc32) for r in got) == [(k, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for k, t in texts.items()]
